@@ -35,8 +35,8 @@ def agg_sales_daily_first30(t):
 
 
 TAG_ALARM_SQL = (
-    "SELECT mine, face, tag, count(*) AS total_records, count_if(status = -1) AS missing_count, "
-    f"count_if(value > {{high}}) AS high_value_count, {half(davg('value'), 4)} AS avg_value, {half('stddev_samp(value)', 4)} AS stddev_value, "
+    "SELECT mine, face, tag, count(*) AS total_records, count(*) FILTER (WHERE status = -1) AS missing_count, "
+    f"count(*) FILTER (WHERE value > {{high}}) AS high_value_count, {half(davg('value'), 4)} AS avg_value, {half('stddev_samp(value)', 4)} AS stddev_value, "
     f"{half('min(value)', 4)} AS min_value, {half('max(value)', 4)} AS max_value FROM tags GROUP BY mine, face, tag"
 )
 
@@ -119,7 +119,7 @@ def agg_wide_fulfillment(t):
     return marts.fulfillment(wide_table(t)).orderBy(F.desc("total_amount"), "customer_name").limit(20)
 
 
-@query("agg_cond_count", sql("tags", "SELECT mine, count_if(status = -1) AS missing, count_if(value > 100) AS high FROM tags GROUP BY mine"))
+@query("agg_cond_count", sql("tags", "SELECT mine, count(*) FILTER (WHERE status = -1) AS missing, count(*) FILTER (WHERE value > 100) AS high FROM tags GROUP BY mine"))
 def agg_cond_count(t):
     return t.tags.groupBy("mine").agg(
         F.count_if(F.col("status") == -1).alias("missing"), F.count_if(F.col("value") > 100).alias("high")
@@ -138,7 +138,7 @@ def agg_count_distinct(t):
     "agg_pct",
     sql(
         "tags",
-        "SELECT count_if(value IS NULL) * 100.0::DOUBLE / count(*) AS null_pct, count_if(value > 100) * 100.0::DOUBLE / count(*) AS high_pct FROM tags",
+        "SELECT count(*) FILTER (WHERE value IS NULL) * 100.0::DOUBLE / count(*) AS null_pct, count(*) FILTER (WHERE value > 100) * 100.0::DOUBLE / count(*) AS high_pct FROM tags",
     ),
 )
 def agg_pct(t):
@@ -150,7 +150,7 @@ _NULL_COLS = ["SAMPLE_ID", "MINE_CODE", "SAMPLE_TYPE", "AD", "VD", "QGR_AD", "
 
 @query(
     "agg_multi_col_nulls",
-    sql("samples", " UNION ALL ".join(f"SELECT '{c}' AS column_name, count_if(\"{c}\" IS NULL) AS nulls FROM samples" for c in _NULL_COLS)),
+    sql("samples", " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE \"{c}\" IS NULL) AS nulls FROM samples" for c in _NULL_COLS)),
 )
 def agg_multi_col_nulls(t):
     return null_counts(t.samples, _NULL_COLS)
@@ -225,7 +225,7 @@ def agg_quantile(t):
     "agg_group_stat_ratio",
     sql(
         "tags",
-        "SELECT t.mine, count_if(t.value > m.median * CAST(3 AS DOUBLE)) AS spikes, count(*) AS readings FROM tags t JOIN m ON t.mine = m.mine GROUP BY t.mine",
+        "SELECT t.mine, count(*) FILTER (WHERE t.value > m.median * CAST(3 AS DOUBLE)) AS spikes, count(*) AS readings FROM tags t JOIN m ON t.mine = m.mine GROUP BY t.mine",
         m=QUANTILE_SQL.format(key="mine", alias="median", p=0.5, source="tags"),
     ),
 )
@@ -246,9 +246,9 @@ def agg_having_unique(t):
     sql(
         "tags",
         "SELECT strftime(\"timestamp\", '%Y-%m-%d') AS production_date, mine AS mine_code, "
-        "count_if(status = 0) * CAST(5 AS DOUBLE) / CAST(60 AS DOUBLE) AS daily_running_hours, max(value) AS daily_max_wagas, "
+        "count(*) FILTER (WHERE status = 0) * CAST(5 AS DOUBLE) / CAST(60 AS DOUBLE) AS daily_running_hours, max(value) AS daily_max_wagas, "
         f"{half(davg('value'), 4)} AS daily_avg_wagas, "
-        f"{half('count_if(status = 0) * CAST(5 AS DOUBLE) / CAST(60 AS DOUBLE) / CAST(24 AS DOUBLE)', 6)} AS availability_rate "
+        f"{half('count(*) FILTER (WHERE status = 0) * CAST(5 AS DOUBLE) / CAST(60 AS DOUBLE) / CAST(24 AS DOUBLE)', 6)} AS availability_rate "
         "FROM tags WHERE tag LIKE '%_WAGAS' GROUP BY 1, 2",
     ),
 )
@@ -309,7 +309,7 @@ def agg_monthly_rollup(t):
     "agg_fulfillment_rate",
     sql(
         "",
-        "SELECT stat_month, mine_code, count_if(delay <= 0) * CAST(1 AS DOUBLE) / count(*) AS fulfillment_rate, "
+        "SELECT stat_month, mine_code, count(*) FILTER (WHERE delay <= 0) * CAST(1 AS DOUBLE) / count(*) AS fulfillment_rate, "
         "CAST(sum(delay) AS DOUBLE) / count(*) AS avg_delay_days FROM (SELECT substr(dt, 1, 7) AS stat_month, mine_code, "
         "date_diff('day', CAST(o_orderdate AS DATE) + 60, CAST(dt AS DATE)) AS delay FROM fact JOIN orders ON order_id = o_orderkey) GROUP BY 1, 2",
         fact=FACT_SQL,
@@ -388,7 +388,7 @@ def agg_dwm_sales_daily(t):
     sql(
         "samples",
         f"SELECT MINE_CODE, SAMPLE_TYPE, substr(SAMPLING_DATE, 1, 7) AS month, {half(davg('AD'), 4)} AS avg_ash, {half(davg('QGR_AD'), 4)} AS avg_calorific, "
-        "count_if(AD >= lo AND AD <= hi) * CAST(1 AS DOUBLE) / count(*) AS pass_rate FROM samples JOIN ranges USING (SAMPLE_TYPE) GROUP BY 1, 2, 3",
+        "count(*) FILTER (WHERE AD >= lo AND AD <= hi) * CAST(1 AS DOUBLE) / count(*) AS pass_rate FROM samples JOIN ranges USING (SAMPLE_TYPE) GROUP BY 1, 2, 3",
         ranges=RANGES_SQL,
     ),
 )
@@ -405,8 +405,8 @@ def agg_dwm_coal_grade(t):
     "agg_dwm_alarm_monthly",
     sql(
         "tags",
-        "SELECT mine, strftime(\"timestamp\", '%Y-%m') AS month, count_if(value > 100) AS alarms, count_if(value > 100 AND status = 0) * CAST(1 AS DOUBLE) / "
-        "NULLIF(count_if(value > 100), 0) AS confirmed_rate FROM tags GROUP BY 1, 2",
+        "SELECT mine, strftime(\"timestamp\", '%Y-%m') AS month, count(*) FILTER (WHERE value > 100) AS alarms, count(*) FILTER (WHERE value > 100 AND status = 0) * CAST(1 AS DOUBLE) / "
+        "NULLIF(count(*) FILTER (WHERE value > 100), 0) AS confirmed_rate FROM tags GROUP BY 1, 2",
     ),
 )
 def agg_dwm_alarm_monthly(t):
@@ -422,7 +422,7 @@ def agg_dwm_alarm_monthly(t):
         "tags",
         "SELECT mine, strftime(\"timestamp\", '%Y-%m-%d') AS day, "
         f"{half(davg('CASE WHEN contains(tag, ' + chr(39) + 'WAGAS' + chr(39) + ') THEN value END'), 4)} AS gas_mean, "
-        "max(CASE WHEN contains(tag, 'WAGAS') THEN value END) AS gas_peak, count_if(status = 0) * CAST(1 AS DOUBLE) / count(*) AS running_rate "
+        "max(CASE WHEN contains(tag, 'WAGAS') THEN value END) AS gas_peak, count(*) FILTER (WHERE status = 0) * CAST(1 AS DOUBLE) / count(*) AS running_rate "
         "FROM tags GROUP BY 1, 2",
     ),
 )

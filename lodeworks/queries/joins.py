@@ -39,7 +39,7 @@ def join_left_chain(t):
     "join_preagg",
     sql(
         "vbak dwd_samples",
-        "SELECT v.ROW_NO, v.BZIRK, s.ad AS mine_ash, s.n AS mine_samples FROM vbak v LEFT JOIN s ON 'M' || substr(v.BZIRK, 2, 3) = s.MINE_CODE",
+        "SELECT v.ROW_NO, v.BZIRK, s.ad AS mine_ash, coalesce(s.n, 0) AS mine_samples FROM vbak v LEFT JOIN s ON 'M' || substr(v.BZIRK, 2, 3) = s.MINE_CODE",
         s=f"SELECT MINE_CODE, {half(davg('AD'), 4)} AS ad, count(*) AS n FROM dwd_samples GROUP BY MINE_CODE",
     ),
 )
@@ -48,7 +48,8 @@ def join_preagg(t):
         half_up(exact_avg("AD"), 4).alias("mine_ash"), F.count(F.lit(1)).alias("mine_samples")
     )
     orders = t.vbak.select("ROW_NO", "BZIRK", bridge_mine("BZIRK").alias("mine_code"))
-    return attach(orders, per_mine, "mine_code").drop("mine_code")
+    joined = attach(orders, per_mine, "mine_code").drop("mine_code")
+    return joined.withColumn("mine_samples", F.coalesce("mine_samples", F.lit(0)))
 
 
 @query(
@@ -182,7 +183,7 @@ def join_range_lookup(t):
     "join_trace",
     sql(
         "tags samples vbap dwd_vbak kna1",
-        "SELECT g.tag, n.SAMPLE_ID AS sample_id, l.VBELN, l.MATNR, v.KUNNR, v.NETWR, k.NAME1 AS customer_name "
+        "SELECT g.tag, n.SAMPLE_ID AS sample_id, CAST(l.VBELN AS STRING) AS VBELN, l.MATNR, v.KUNNR, v.NETWR, k.NAME1 AS customer_name "
         "FROM (SELECT DISTINCT tag, mine FROM tags) g JOIN newest n ON g.mine = n.MINE_CODE "
         "LEFT JOIN line l ON right(n.SAMPLE_ID, 4) = l.suffix LEFT JOIN dwd_vbak v ON l.VBELN = v.VBELN "
         "LEFT JOIN kna1 k ON v.KUNNR = k.KUNNR",
@@ -193,7 +194,8 @@ def join_range_lookup(t):
     ),
 )
 def join_trace(t):
-    return trace_orders(t.tags, t.samples, t.vbap, t.dwd_vbak, t.kna1)
+    traced = trace_orders(t.tags, t.samples, t.vbap, t.dwd_vbak, t.kna1)
+    return traced.withColumn("VBELN", F.col("VBELN").cast("string"))
 
 
 @query(

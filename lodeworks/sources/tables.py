@@ -1,11 +1,15 @@
-"""Versioned tables: Parquet with one folder per snapshot and a small log of commits.
+"""Versioned tables: Parquet with one folder per snapshot and one small commit file per version.
 
-A snapshot becomes visible when its log row is written, after its data; a job that dies half-way
-leaves a folder nobody reads.
+A snapshot becomes visible when its commit file is created, after its data; a job that dies
+half-way leaves a folder nobody reads. Creating the commit file fails if another writer took the
+version first.
 """
 
 from __future__ import annotations
 
+import json
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,22 +23,30 @@ def _log_path(path: str) -> str:
     return f"{path}/_commits"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
-def history(spark: SparkSession, path: str) -> DataFrame:
-    """Version list, newest first."""
-    if not _exists(spark, _log_path(path)):
-        return spark.createDataFrame([], LOG_SCHEMA)
-    return spark.read.schema(LOG_SCHEMA).json(_log_path(path)).orderBy(F.desc("snapshot_version"))
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Committed version numbers, from the names of the commit files."""
+    fs, log = _file_system(spark, _log_path(path))
+    if not fs.exists(log):
+        return []
+    names = [status.getPath().getName() for status in fs.listStatus(log)]
+    return sorted(int(name.removesuffix(".json")) for name in names if name.endswith(".json"))
 
 
 def latest_version(spark: SparkSession, path: str) -> int:
     """Newest committed version, -1 for a table that does not exist yet."""
-    row = history(spark, path).agg(F.max("snapshot_version").alias("v")).first()
-    return -1 if row.v is None else row.v
+    return max(versions(spark, path), default=-1)
+
+
+def history(spark: SparkSession, path: str) -> DataFrame:
+    """Version list, newest first."""
+    if not versions(spark, path):
+        return spark.createDataFrame([], LOG_SCHEMA)
+    return spark.read.schema(LOG_SCHEMA).json(_log_path(path)).orderBy(F.desc("snapshot_version"))
 
 
 def commit(df: DataFrame, path: str, operation: str = "OVERWRITE", partition_by: list[str] | None = None) -> int:
@@ -45,12 +57,15 @@ def commit(df: DataFrame, path: str, operation: str = "OVERWRITE", partition_by:
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{path}/snapshot_version={version}")
-    entry = spark.range(1).select(
-        F.lit(version).cast("bigint").alias("snapshot_version"),
-        F.current_timestamp().alias("committed_at"),
-        F.lit(operation).alias("operation"),
-    )
-    entry.coalesce(1).write.mode("append").json(_log_path(path))
+    entry = {
+        "snapshot_version": version,
+        "committed_at": datetime.now(timezone.utc).isoformat(timespec="milliseconds"),
+        "operation": operation,
+    }
+    fs, target = _file_system(spark, f"{_log_path(path)}/{version}.json")
+    stream = fs.create(target, False)
+    stream.write(bytearray(json.dumps(entry), "utf-8"))
+    stream.close()
     return version
 
 
