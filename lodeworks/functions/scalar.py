@@ -21,8 +21,17 @@ def half_up(value: ColumnLike, digits: int = 2) -> Column:
 
 
 def exact_sum(value: ColumnLike, scale: int = 2) -> Column:
-    """Sum in decimal: the result does not depend on the order of partitions."""
-    return F.sum(_col(value).cast(f"decimal(18,{scale})")).cast("double")
+    """Sum of numbers with ``scale`` decimals that does not depend on the order of partitions.
+
+    Values are counted in whole units of the last digit. High and low bits are summed apart, so
+    that neither sum can overflow before some 10**12 rows meet in one group; primitive sums are
+    several times faster than decimal ones.
+    """
+    unit = float(10**scale)
+    units = F.floor(_col(value) * F.lit(unit) + F.lit(0.5))
+    high = F.sum(F.shiftright(units, 20)).cast("double")
+    low = F.sum(units.bitwiseAND(F.lit((1 << 20) - 1))).cast("double")
+    return (high * F.lit(float(1 << 20)) + low) / F.lit(unit)
 
 
 def exact_avg(value: ColumnLike, scale: int = 2) -> Column:

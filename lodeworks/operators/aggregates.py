@@ -62,13 +62,17 @@ def group_spikes(df: DataFrame, key: str, value: str, multiple: float = 3.0) ->
 
 
 def truncated(df: DataFrame, order_by: list, max_rows: int = 100) -> DataFrame:
-    """First rows of a result, each saying whether there were more."""
-    more = df.limit(max_rows + 1).agg((F.count(F.lit(1)) > max_rows).alias("truncated"))
-    return df.orderBy(*order_by).limit(max_rows).join(F.broadcast(more))
+    """First rows of a result, each saying whether there were more. One distributed top-k of one row
+    more than asked for; the windows see those few rows only."""
+    top = df.orderBy(*order_by).limit(max_rows + 1)
+    total = F.count(F.lit(1)).over(Window.partitionBy(F.lit(1)))
+    place = F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(*order_by))
+    marked = top.select("*", (total > max_rows).alias("truncated"), place.alias("_place"))
+    return marked.where(F.col("_place") <= max_rows).drop("_place")
 
 
 def refresh_days(existing: DataFrame, facts: DataFrame, changed_days: DataFrame, day: str, aggregate) -> DataFrame:
     """Recompute only the days that changed and keep the other rows as they are."""
-    days = F.broadcast(changed_days.select(day).distinct())
+    days = F.broadcast(changed_days.select(day).distinct())  # at most one row per calendar day
     fresh = aggregate(facts.join(days, day, "left_semi"))
     return existing.join(days, day, "left_anti").unionByName(fresh)

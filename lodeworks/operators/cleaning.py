@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from lodeworks.constants import ASH_RANGES
 from lodeworks.functions import clamp, half_up, outside, zfill
-from lodeworks.operators.dedup import keep_first
-from lodeworks.operators.joins import attach, flag_member, with_ranges
+from lodeworks.operators.dedup import keep_first, not_null
+from lodeworks.operators.joins import attach, flag_member, side_by_side, with_ranges
 from lodeworks.operators.quantiles import exact_quantiles
 
 
@@ -39,7 +39,7 @@ RULES = {
 def clean(df: DataFrame, table: str, order_by: list | None = None) -> DataFrame:
     """Apply the cleaning rule of a table. ``order_by`` says which copy of a key is the first."""
     rule = RULES[table]
-    df = df.dropna(subset=list(rule.required))
+    df = not_null(df, rule.required)
     if rule.keep:
         df = df.where(rule.keep)
     if rule.unique:
@@ -51,9 +51,7 @@ def clean(df: DataFrame, table: str, order_by: list | None = None) -> DataFrame:
 
 def cleaning_stats(before: DataFrame, after: DataFrame) -> DataFrame:
     """before / after / dropped / dropped_pct as one row."""
-    counts = before.agg(F.count(F.lit(1)).alias("before")).join(
-        F.broadcast(after.agg(F.count(F.lit(1)).alias("after")))
-    )
+    counts = side_by_side(before.agg(F.count(F.lit(1)).alias("before")), after.agg(F.count(F.lit(1)).alias("after")))
     return counts.select(
         "before",
         "after",

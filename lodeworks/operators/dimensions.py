@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from lodeworks.constants import ASH_RANGES
 from lodeworks.functions import bucket_case, half_up, prefix_or, ratio
-from lodeworks.operators.dedup import distinct_by
+from lodeworks.operators.dedup import distinct_by, not_null
 from lodeworks.operators.joins import with_ranges
 
 
 def dim_mine(tags: DataFrame, samples: DataFrame) -> DataFrame:
     """Mines known to the sensor system, the lab, or both."""
-    sensor = tags.select(F.col("mine").alias("mine_code")).dropna().distinct().withColumn("pi", F.col("mine_code"))
+    sensor = not_null(tags.select(F.col("mine").alias("mine_code")), ["mine_code"]).distinct().withColumn("pi", F.col("mine_code"))
     lab = distinct_by(
         samples.select(F.col("MINE_CODE").alias("mine_code"), F.col("MINE_NAME").alias("lab_name")),
         ["mine_code"],
@@ -42,13 +42,13 @@ def dim_customer(kna1: DataFrame) -> DataFrame:
 
 
 def dim_material(vbap: DataFrame) -> DataFrame:
-    keys = vbap.select(F.col("MATNR").cast("string").alias("matnr")).dropna().distinct()
+    keys = not_null(vbap.select(F.col("MATNR").cast("string").alias("matnr")), ["matnr"]).distinct()
     return keys.select("matnr", F.col("matnr").alias("mat_desc"), prefix_or("matnr", 4).alias("mat_type"))
 
 
 def dim_coal_type(samples: DataFrame, ranges: dict = ASH_RANGES) -> DataFrame:
     """Coal types seen in the lab with their reference ash range."""
-    types = samples.select("SAMPLE_TYPE").dropna().distinct()
+    types = not_null(samples.select("SAMPLE_TYPE"), ["SAMPLE_TYPE"]).distinct()
     return with_ranges(types, ranges, "SAMPLE_TYPE").select(
         F.col("SAMPLE_TYPE").alias("coal_type"), F.col("lo").alias("ash_min"), F.col("hi").alias("ash_max")
     )

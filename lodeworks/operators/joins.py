@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,60 +12,38 @@ from lodeworks.functions import outside
 from lodeworks.sources.literal import literal_table
 
 BROADCAST_ROWS = 200_000
-HOT_SHARE = 0.001
 
 
-def attach(big: DataFrame, small: DataFrame, on, how: str = "left", max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Join a per-key table (usually an aggregate) to a big table.
+def attach_all(big: DataFrame, *sides: tuple, how: str = "left", max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Join per-key tables (usually aggregates) to a big table; each side is ``(table, on)``.
 
-    The per-key table is computed once and counted. Up to ``max_rows`` it is broadcast, so that
-    the big side is not shuffled; beyond that the join is left to Spark (sort-merge, with
-    adaptive splitting of skewed partitions).
+    The per-key tables are computed once and counted, all in one job. Up to ``max_rows`` a table is
+    broadcast, so that the big side is not shuffled for it; beyond that the join is left to Spark
+    (sort-merge, with adaptive splitting of skewed partitions).
     """
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
-    if small.count() <= max_rows:
-        small = F.broadcast(small)
-    return big.join(small, on, how)
-
-
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
-    """Keys that hold at least ``share`` of all rows: by construction at most ``1 / share`` of them."""
-    counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = counted.agg(F.sum("_n").alias("_total"))
-    return counted.join(F.broadcast(total)).where(F.col("_n") >= F.col("_total") * F.lit(share)).select(key)
-
-
-def flag_member(
-    child: DataFrame,
-    parent: DataFrame,
-    key: str,
-    flag: str,
-    parent_key: str | None = None,
-    hot_share: float = HOT_SHARE,
-) -> DataFrame:
+    smalls = [side.persist(StorageLevel.MEMORY_AND_DISK) for side, _ in sides]
+    counts = [s.agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n") for i, s in enumerate(smalls)]
+    sizes = {row.i: row.n for row in reduce(DataFrame.unionByName, counts).collect()}
+    for i, (small, (_, on)) in enumerate(zip(smalls, sides, strict=True)):
+        big = big.join(F.broadcast(small) if sizes[i] <= max_rows else small, on, how)
+    return big
+
+
+def attach(big: DataFrame, small: DataFrame, on, how: str = "left", max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    return attach_all(big, (small, on), how=how, max_rows=max_rows)
+
+
+def flag_member(child: DataFrame, parent: DataFrame, key: str, flag: str, parent_key: str | None = None) -> DataFrame:
     """Add a boolean column: does the key exist in the parent table? NULL gives false.
 
-    Child keys are reduced to one row each before they meet the parent, so a sentinel key that
-    holds a third of the rows travels as a single row. The verdict goes back to the rows by hot
-    key (a broadcast of at most ``1 / hot_share`` rows) or by an ordinary join for the rest.
+    The parent side is one row per key. While its size (known to Spark from the files) is small it
+    is broadcast and the child rows stay where they are. Beyond that both sides meet by key, and a
+    partition that a sentinel or NULL key blows up is split by the adaptive skew handling, which
+    copies only the one parent row it needs.
     """
-    parent_keys = parent.select(F.col(parent_key or key).alias(key)).where(F.col(key).isNotNull()).distinct()
-    hot = hot_keys(child.where(F.col(key).isNotNull()), key, hot_share)
-    hot_flags = hot.join(parent_keys.withColumn("_hit", F.lit(True)), key, "left").select(
-        F.col(key).alias("_hot_key"), F.coalesce("_hit", F.lit(False)).alias("_hot_hit")
-    )
-    # Rows of hot and NULL keys get a NULL join key plus a salt: they match nothing and spread out.
-    marked = child.join(F.broadcast(hot_flags), F.col(key) == F.col("_hot_key"), "left").withColumn(
-        "_probe", F.when(F.col("_hot_key").isNull(), F.col(key))
-    )
-    cold = marked.where(F.col("_probe").isNotNull())
-    rest = marked.where(F.col("_probe").isNull())
-    cold = cold.join(
-        parent_keys.select(F.col(key).alias("_probe"), F.lit(True).alias("_hit")), "_probe", "left"
-    ).withColumn(flag, F.coalesce("_hit", F.lit(False)))
-    rest = rest.withColumn(flag, F.coalesce("_hot_hit", F.lit(False)))
-    columns = [*child.columns, flag]
-    return cold.select(columns).unionByName(rest.select(columns))
+    known = parent.select(F.col(parent_key or key).alias(key)).where(F.col(key).isNotNull()).distinct()
+    joined = child.join(known.withColumn("_hit", F.lit(True)), key, "left")
+    return joined.select(*child.columns, F.coalesce("_hit", F.lit(False)).alias(flag))
 
 
 def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:
@@ -98,8 +78,16 @@ def out_of_range(df: DataFrame, ranges: dict[str, tuple[float, float]], key: str
 
 
 def with_total(df: DataFrame, total: Column, alias: str) -> DataFrame:
-    """Put one grand total next to every row (the total is a single row, so the join is free)."""
-    return df.join(F.broadcast(df.agg(total.alias(alias))))
+    """Put one grand total next to every row, as a scalar subquery."""
+    return df.withColumn(alias, df.agg(total).scalar())
+
+
+def side_by_side(*frames: DataFrame) -> DataFrame:
+    """Columns of one-row results in one row. Each frame is a scalar subquery, so they run side by
+    side and nothing is joined."""
+    rows = [frame.select(F.struct("*")).scalar().alias(f"_{i}") for i, frame in enumerate(frames)]
+    one = frames[0].sparkSession.range(1).select(*rows)
+    return one.select(*[f"_{i}.*" for i in range(len(frames))])
 
 
 def trace_orders(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodeworks.constants import DIRECT_TRANSFORMS, LAYER_ORDER, TRANSFORM_LABELS
+from lodeworks.operators.joins import BROADCAST_ROWS
 from lodeworks.session import shared_dir
 
 
@@ -36,19 +37,22 @@ def reach(edges: DataFrame, start: str, forward: bool = True, max_depth: int = 6
 
     Ordering by that depth is a topological order. Each round holds the distinct nodes at exactly
     that distance and is checkpointed, so the plan stays short. The loop counts levels, not rows.
-    A graph with a cycle has no topological order and is refused.
+    A small level is broadcast to the edges; a large one meets them by key. A graph with a cycle
+    has no topological order and is refused.
     """
     a, b = ("src", "dst") if forward else ("dst", "src")
     shared_dir(edges.sparkSession)
-    hops = edges.select(F.col(a).alias("node"), F.col(b).alias("next")).distinct()
+    hops = edges.select(F.col(a).alias("node"), F.col(b).alias("next"))
     level = hops.where(F.col("node") == start).select(F.col("next").alias("node")).distinct().checkpoint()
     found = None
     for depth in range(1, max_depth + 1):
-        if level.isEmpty():
+        size = level.count()
+        if size == 0:
             break
         seen = level.withColumn("depth", F.lit(depth))
         found = seen if found is None else found.unionByName(seen)
-        level = hops.join(level, "node", "left_semi").select(F.col("next").alias("node")).distinct().checkpoint()
+        near = F.broadcast(level) if size <= BROADCAST_ROWS else level
+        level = hops.join(near, "node", "left_semi").select(F.col("next").alias("node")).distinct().checkpoint()
     else:
         raise ValueError(f"no end after {max_depth} levels: the graph has a cycle or is deeper")
     if found is None:

@@ -30,7 +30,8 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str,
     )
     # Slice number of a row = how many cut points lie below its value.
     sliced = attach(data, sketch, group, "inner").withColumn(
-        "_slice", F.aggregate("_cuts", F.lit(0), lambda acc, c: acc + F.when(F.col("_v") > c, 1).otherwise(0))
+        "_slice",
+        sum((F.when(F.col("_v") > F.get("_cuts", F.lit(i)), 1).otherwise(0) for i in range(len(cuts))), F.lit(0)),
     )
     slices = sliced.groupBy(*group, "_slice").agg(F.count(F.lit(1)).alias("_n"))
     by_slice = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -83,5 +84,5 @@ def above_multiple_of_median(
     """Rows of ``df`` with ``median`` and ``is_spike`` (value above ``multiple`` times the median)."""
     keys = keys or []
     median = exact_median(df, keys, value)
-    joined = attach(df, median, keys) if keys else df.join(F.broadcast(median), how="left")
+    joined = attach(df, median, keys) if keys else df.withColumn("median", median.scalar())
     return joined.withColumn("is_spike", F.coalesce(F.col(value) > F.col("median") * F.lit(multiple), F.lit(False)))

@@ -31,25 +31,21 @@ def rules_for(system: str, table: str) -> list[Rule]:
     return [Rule(*spec) for spec in QUALITY_RULES.get((system, table), [])]
 
 
-def _within(value: Column, rule: Rule) -> Column:
-    ok = F.lit(True)
-    if rule.min_value is not None:
-        ok = ok & (value >= F.lit(rule.min_value))
-    if rule.max_value is not None:
-        ok = ok & (value <= F.lit(rule.max_value))
-    return ok
-
-
-def unexpected(rule: Rule, ignore_nulls: bool = False) -> Column:
-    """Row condition under which a row breaks the rule. NULL breaks a range unless told otherwise."""
-    value = F.col(rule.columns[0])
+def _within(value: str, rule: Rule) -> str:
+    bounds = [f"{value} >= {rule.min_value}"] if rule.min_value is not None else []
+    bounds += [f"{value} <= {rule.max_value}"] if rule.max_value is not None else []
+    return " AND ".join(bounds) or "TRUE"
+
+
+def unexpected(rule: Rule, ignore_nulls: bool = False) -> str:
+    """Row condition, as a SQL expression, under which a row breaks the rule. NULL breaks a range
+    unless told otherwise."""
+    value = f"`{rule.columns[0]}`"
     if rule.kind == NOT_NULL:
-        return value.isNull()
-    if rule.kind == BETWEEN:
-        return ~F.coalesce(_within(value, rule), F.lit(ignore_nulls))
+        return f"{value} IS NULL"
     if rule.kind == LENGTH:
-        return ~F.coalesce(_within(F.length(value.cast("string")), rule), F.lit(ignore_nulls))
-    raise ValueError(f"unknown expectation: {rule.kind}")
+        value = f"length(CAST({value} AS STRING))"
+    return f"NOT coalesce({_within(value, rule)}, {str(ignore_nulls).upper()})"
 
 
 def _problem(rule: Rule, columns: list[str]) -> str | None:
@@ -61,7 +57,6 @@ def _problem(rule: Rule, columns: list[str]) -> str | None:
 
 def evaluate(df: DataFrame, rules: list[Rule], ignore_nulls: bool = False) -> DataFrame:
     """One row per rule. A rule that cannot run is reported as failed and stops nothing."""
-    head = [F.lit(None).cast("int"), F.lit(None).cast("string")]
     row_rules, unique_rules, broken = [], [], []
     for no, rule in enumerate(rules, 1):
         problem = _problem(rule, df.columns)
@@ -70,29 +65,23 @@ def evaluate(df: DataFrame, rules: list[Rule], ignore_nulls: bool = False) -> Da
         else:
             (unique_rules if rule.kind == UNIQUE else row_rules).append((no, rule))
 
-    def outcome(no: int, rule: Rule, bad: Column, total: Column) -> Column:
-        share = F.coalesce(F.try_divide(bad * F.lit(100.0), total), F.lit(0.0))
-        return F.struct(
-            F.lit(no).alias("rule_no"),
-            F.lit(rule.kind).alias("expectation"),
-            F.lit(rule.label).alias("column_name"),
-            (bad == 0).alias("success"),
-            bad.alias("unexpected_count"),
-            half_up(share, 3).alias("unexpected_pct"),
-            head[1].alias("error"),
+    def outcome(no: int, rule: Rule, bad: str, total: str) -> str:
+        share = f"coalesce(try_divide({bad} * 100D, {total}), 0D)"
+        return (
+            f"named_struct('rule_no', {no}, 'expectation', '{rule.kind}', 'column_name', '{rule.label}', 'success', {bad} = 0, "
+            f"'unexpected_count', {bad}, 'unexpected_pct', CAST(floor({share} * 1000D + 0.5D) AS DOUBLE) / 1000D, 'error', CAST(NULL AS STRING))"
         )
 
     parts = []
     if row_rules:
-        counts = df.agg(
-            F.count(F.lit(1)).alias("_total"),
-            *[F.count_if(unexpected(rule, ignore_nulls)).alias(f"_bad_{no}") for no, rule in row_rules],
+        counts = df.selectExpr(
+            "count(1) AS _total", *[f"count_if({unexpected(rule, ignore_nulls)}) AS _bad_{no}" for no, rule in row_rules]
         )
-        outcomes = F.array(*[outcome(no, rule, F.col(f"_bad_{no}"), F.col("_total")) for no, rule in row_rules])
-        parts.append(counts.select(F.inline(outcomes)))
+        outcomes = ", ".join(outcome(no, rule, f"_bad_{no}", "_total") for no, rule in row_rules)
+        parts.append(counts.selectExpr(f"inline(array({outcomes}))"))
     for no, rule in unique_rules:
         counted = surplus(df.select(*rule.columns), list(rule.columns))
-        parts.append(counted.select(F.inline(F.array(outcome(no, rule, F.col("dup"), F.col("total"))))))
+        parts.append(counted.selectExpr(f"inline(array({outcome(no, rule, 'dup', 'total')}))"))
     if broken:
         parts.append(
             literal_table(

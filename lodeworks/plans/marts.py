@@ -5,21 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodeworks.functions import bridge_mine, exact_avg, half_up, iso_date, month_of, ratio, zfill
-from lodeworks.operators.joins import attach
+from lodeworks.functions import bridge_mine, exact_avg, exact_sum, half_up, month_of, parse_date, ratio, zfill
+from lodeworks.operators.joins import attach_all
 
 
 def sales_daily(orders: DataFrame) -> DataFrame:
     """Orders, customers and amounts per day."""
     dated = orders.where(F.col("ERDAT").isNotNull() & (F.col("ERDAT") != "00000000"))
-    return dated.groupBy(iso_date("ERDAT").alias("sale_date")).agg(
+    # Grouped on the date itself; only the few result rows are formatted.
+    daily = dated.groupBy(parse_date("ERDAT").alias("_day")).agg(
         F.count(F.lit(1)).alias("order_count"),
         F.countDistinct("KUNNR").alias("customer_count"),
-        F.round(F.sum(F.col("NETWR").cast("decimal(18,2)")).cast("double"), 2).alias("total_amount"),
+        exact_sum("NETWR").alias("total_amount"),
         half_up(exact_avg("NETWR"), 2).alias("avg_order_amount"),
         F.countDistinct("AUART").alias("order_type_count"),
         F.countDistinct("VKORG").alias("sales_org_count"),
     )
+    return daily.select(F.date_format("_day", "yyyy-MM-dd").alias("sale_date"), *[c for c in daily.columns if c != "_day"])
 
 
 def first_days(daily: DataFrame, n: int = 30, ascending: bool = True) -> DataFrame:
@@ -80,8 +82,11 @@ def sales_production(orders: DataFrame, customers: DataFrame, tags: DataFrame, s
     o = orders.withColumns({"mine_code": bridge_mine("BZIRK"), "_k": zfill("KUNNR", 10)})
     c = customers.select(zfill("KUNNR", 10).alias("_k"), F.col("NAME1").alias("customer_name"))
     wide = o.join(c, "_k", "left")
-    wide = attach(wide, tags_by_face(tags).withColumnRenamed("mine", "mine_code"), "mine_code")
-    wide = attach(wide, samples_by_mine(samples).withColumnRenamed("MINE_CODE", "mine_code"), "mine_code")
+    wide = attach_all(
+        wide,
+        (tags_by_face(tags).withColumnRenamed("mine", "mine_code"), "mine_code"),
+        (samples_by_mine(samples).withColumnRenamed("MINE_CODE", "mine_code"), "mine_code"),
+    )
     return wide.select(
         "VBELN",
         "ERDAT",
@@ -137,11 +142,10 @@ def safety_trend(wide: DataFrame) -> DataFrame:
 def fulfillment(wide: DataFrame) -> DataFrame:
     """Per customer. ``total_amount`` counts an order once per face, as the wide table holds it;
     ``order_amount`` counts it once."""
-    money = F.col("NETWR").cast("decimal(18,2)")
     return wide.where(F.col("customer_name").isNotNull()).groupBy("customer_name").agg(
         F.countDistinct("VBELN").alias("order_count"),
-        F.sum(money).cast("double").alias("total_amount"),
-        F.sum(F.when(F.col("first_face"), money)).cast("double").alias("order_amount"),
+        exact_sum("NETWR").alias("total_amount"),
+        exact_sum(F.when(F.col("first_face"), F.col("NETWR"))).alias("order_amount"),
         half_up(exact_avg("NETWR"), 2).alias("avg_order_amount"),
         F.countDistinct(F.substring("ERDAT", 1, 10)).alias("active_days"),
     )

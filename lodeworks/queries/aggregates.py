@@ -255,17 +255,17 @@ def agg_having_unique(t):
 def agg_fact_daily(t):
     hours = F.count_if(F.col("status") == 0) * F.lit(5.0) / F.lit(60.0)
     return t.tags.where(F.col("tag").like("%_WAGAS")).groupBy(
-        F.date_format("timestamp", "yyyy-MM-dd").alias("production_date"), F.col("mine").alias("mine_code")
+        F.col("timestamp").cast("date").alias("production_date"), F.col("mine").alias("mine_code")
     ).agg(
         hours.alias("daily_running_hours"),
         F.max("value").alias("daily_max_wagas"),
         half_up(exact_avg("value"), 4).alias("daily_avg_wagas"),
         half_up(hours / F.lit(24.0), 6).alias("availability_rate"),
-    )
+    ).withColumn("production_date", F.date_format("production_date", "yyyy-MM-dd"))
 
 
 FACT_SQL = (
-    "SELECT l_orderkey AS order_id, substr(CAST(l_shipdate AS STRING), 1, 10) AS dt, 'M00' || CAST(l_suppkey % 5 + 1 AS STRING) AS mine_code, "
+    "SELECT l_orderkey AS order_id, CAST(l_shipdate AS DATE) AS dt, 'M00' || CAST(l_suppkey % 5 + 1 AS STRING) AS mine_code, "
     "l_returnflag AS coal_type, l_quantity AS output_t, l_extendedprice AS amount, l_tax * 100 + 0.0 AS wagas, l_discount * 100 + 0.0 AS ash FROM lineitem"
 )
 
@@ -274,7 +274,7 @@ def fact_sales(t):
     """Shipment lines in the role of the daily fact table."""
     return t.lineitem.selectExpr(
         "l_orderkey AS order_id",
-        "substr(CAST(l_shipdate AS STRING), 1, 10) AS dt",
+        "CAST(l_shipdate AS DATE) AS dt",
         "'M00' || CAST(l_suppkey % 5 + 1 AS STRING) AS mine_code",
         "l_returnflag AS coal_type",
         "l_quantity AS output_t",
@@ -284,11 +284,20 @@ def fact_sales(t):
     )
 
 
+def _monthly(df, *keys):
+    """Group by the first day of the month; only the result rows get a readable month."""
+    return df.groupBy(F.trunc("dt", "month").alias("stat_month"), *keys)
+
+
+def _name_month(df):
+    return df.withColumn("stat_month", F.date_format("stat_month", "yyyy-MM"))
+
+
 @query(
     "agg_monthly_rollup",
     sql(
         "",
-        f"SELECT substr(dt, 1, 7) AS stat_month, mine_code, coal_type, {dsum('output_t')} AS total_output_t, {dsum('amount')} AS total_amount_cny, "
+        f"SELECT strftime(dt, '%Y-%m') AS stat_month, mine_code, coal_type, {dsum('output_t')} AS total_output_t, {dsum('amount')} AS total_amount_cny, "
         f"{half(davg('wagas'), 4)} AS avg_wagas, {half(davg('ash'), 4)} AS avg_ash, count(DISTINCT o_custkey) AS customer_cnt "
         "FROM fact JOIN orders ON order_id = o_orderkey GROUP BY 1, 2, 3",
         fact=FACT_SQL,
@@ -296,13 +305,13 @@ def fact_sales(t):
 )
 def agg_monthly_rollup(t):
     fact = fact_sales(t).join(t.orders.select(F.col("o_orderkey").alias("order_id"), "o_custkey"), "order_id")
-    return fact.groupBy(month_of("dt").alias("stat_month"), "mine_code", "coal_type").agg(
+    return _monthly(fact, "mine_code", "coal_type").agg(
         exact_sum("output_t").alias("total_output_t"),
         exact_sum("amount").alias("total_amount_cny"),
         half_up(exact_avg("wagas"), 4).alias("avg_wagas"),
         half_up(exact_avg("ash"), 4).alias("avg_ash"),
         F.countDistinct("o_custkey").alias("customer_cnt"),
-    )
+    ).transform(_name_month)
 
 
 @query(
@@ -310,19 +319,19 @@ def agg_monthly_rollup(t):
     sql(
         "",
         "SELECT stat_month, mine_code, count(*) FILTER (WHERE delay <= 0) * CAST(1 AS DOUBLE) / count(*) AS fulfillment_rate, "
-        "CAST(sum(delay) AS DOUBLE) / count(*) AS avg_delay_days FROM (SELECT substr(dt, 1, 7) AS stat_month, mine_code, "
-        "date_diff('day', CAST(o_orderdate AS DATE) + 60, CAST(dt AS DATE)) AS delay FROM fact JOIN orders ON order_id = o_orderkey) GROUP BY 1, 2",
+        "CAST(sum(delay) AS DOUBLE) / count(*) AS avg_delay_days FROM (SELECT strftime(dt, '%Y-%m') AS stat_month, mine_code, "
+        "date_diff('day', CAST(o_orderdate AS DATE) + 60, dt) AS delay FROM fact JOIN orders ON order_id = o_orderkey) GROUP BY 1, 2",
         fact=FACT_SQL,
     ),
 )
 def agg_fulfillment_rate(t):
     dim = t.orders.select(F.col("o_orderkey").alias("order_id"), F.date_add("o_orderdate", 60).alias("promise"))
     fact = fact_sales(t).select("order_id", "dt", "mine_code").join(dim, "order_id")
-    delay = F.datediff(F.col("dt").cast("date"), F.col("promise"))
-    return fact.groupBy(month_of("dt").alias("stat_month"), "mine_code").agg(
+    delay = F.datediff("dt", "promise")
+    return _monthly(fact, "mine_code").agg(
         ratio(F.count_if(delay <= 0), F.count(F.lit(1))).alias("fulfillment_rate"),
         ratio(F.sum(delay), F.count(F.lit(1))).alias("avg_delay_days"),
-    )
+    ).transform(_name_month)
 
 
 def _grade_sql(value: str) -> str:
@@ -353,7 +362,7 @@ def agg_corr(t):
     "agg_ratio_day",
     sql(
         "",
-        f"SELECT dt, mine_code, {dsum('output_t')} AS output_t, {half(dsum('amount') + ' / NULLIF(' + dsum('output_t') + ', 0)', 4)} AS avg_price_cny_t, "
+        f"SELECT strftime(dt, '%Y-%m-%d') AS dt, mine_code, {dsum('output_t')} AS output_t, {half(dsum('amount') + ' / NULLIF(' + dsum('output_t') + ', 0)', 4)} AS avg_price_cny_t, "
         f"{half(dsum('wagas') + ' / NULLIF(' + dsum('output_t') + ', 0)', 6)} AS gas_output_ratio FROM fact GROUP BY 1, 2",
         fact=FACT_SQL,
     ),
@@ -364,14 +373,14 @@ def agg_ratio_day(t):
         out.alias("output_t"),
         half_up(ratio(exact_sum("amount"), out), 4).alias("avg_price_cny_t"),
         half_up(ratio(exact_sum("wagas"), out), 6).alias("gas_output_ratio"),
-    )
+    ).withColumn("dt", F.date_format("dt", "yyyy-MM-dd"))
 
 
 @query(
     "agg_dwm_sales_daily",
     sql(
         "",
-        f"SELECT o_custkey AS customer_id, coal_type, dt, count(DISTINCT order_id) AS orders, {dsum('output_t')} AS shipped_t, {dsum('amount')} AS amount "
+        f"SELECT o_custkey AS customer_id, coal_type, strftime(dt, '%Y-%m-%d') AS dt, count(DISTINCT order_id) AS orders, {dsum('output_t')} AS shipped_t, {dsum('amount')} AS amount "
         "FROM fact JOIN orders ON order_id = o_orderkey GROUP BY 1, 2, 3",
         fact=FACT_SQL,
     ),
@@ -380,7 +389,7 @@ def agg_dwm_sales_daily(t):
     fact = fact_sales(t).join(t.orders.select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id")), "order_id")
     return fact.groupBy("customer_id", "coal_type", "dt").agg(
         F.countDistinct("order_id").alias("orders"), exact_sum("output_t").alias("shipped_t"), exact_sum("amount").alias("amount")
-    )
+    ).withColumn("dt", F.date_format("dt", "yyyy-MM-dd"))
 
 
 @query(
@@ -411,9 +420,9 @@ def agg_dwm_coal_grade(t):
 )
 def agg_dwm_alarm_monthly(t):
     alarm = F.col("value") > 100
-    return t.tags.groupBy("mine", F.date_format("timestamp", "yyyy-MM").alias("month")).agg(
+    return t.tags.groupBy("mine", F.trunc(F.col("timestamp").cast("date"), "month").alias("month")).agg(
         F.count_if(alarm).alias("alarms"), ratio(F.count_if(alarm & (F.col("status") == 0)), F.count_if(alarm)).alias("confirmed_rate")
-    )
+    ).withColumn("month", F.date_format("month", "yyyy-MM"))
 
 
 @query(
@@ -428,11 +437,11 @@ def agg_dwm_alarm_monthly(t):
 )
 def agg_dwm_production_daily(t):
     gas = F.when(contains("tag", "WAGAS"), F.col("value"))
-    return t.tags.groupBy("mine", F.date_format("timestamp", "yyyy-MM-dd").alias("day")).agg(
+    return t.tags.groupBy("mine", F.col("timestamp").cast("date").alias("day")).agg(
         half_up(exact_avg(gas), 4).alias("gas_mean"),
         F.max(gas).alias("gas_peak"),
         ratio(F.count_if(F.col("status") == 0), F.count(F.lit(1))).alias("running_rate"),
-    )
+    ).withColumn("day", F.date_format("day", "yyyy-MM-dd"))
 
 
 @query(

@@ -218,7 +218,7 @@ def _asset_counts(t):
     files = sorted(set(ASSET_TABLES.values()))
     counts = catalog.partitions(t.spark, [t.path(n) for n in files]).groupBy("table_name").agg(F.sum("row_count").alias("row_count"))
     roles = literal_table(t.spark, [(*k, v) for k, v in ASSET_TABLES.items()], "system string, role string, table_name string")
-    return roles.join(F.broadcast(counts), "table_name").select("system", F.col("role").alias("table_name"), "row_count")
+    return roles.join(counts, "table_name").select("system", F.col("role").alias("table_name"), "row_count")
 
 
 @query("cat_assets", _ASSETS_SQL)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from lodeworks.constants import POINT_ALARMS, SENSOR_LIMITS
 from lodeworks.functions import bucket_case, contains, exact_avg, half_up, mask_text, sensor_of
 from lodeworks.operators.aggregates import truncated
-from lodeworks.operators.dedup import compare_counts, difference, distinct_by, duplicate_rows
+from lodeworks.operators.dedup import compare_counts, difference, distinct_by, duplicate_rows, not_null
 from lodeworks.operators.dimensions import ASH_GRADE, ASH_GRADE4, ORDER_SIZE
 from lodeworks.operators.quality import ranked_alerts
 from lodeworks.queries.registry import query
@@ -41,7 +41,7 @@ def prj_copy(t):
     sql("vbak", "SELECT ROW_NO, VBELN FROM vbak WHERE NETWR IS NOT NULL AND ERNAM IS NOT NULL AND VBELN IS NOT NULL"),
 )
 def flt_not_null(t):
-    return t.vbak.dropna(subset=["NETWR", "ERNAM", "VBELN"]).select("ROW_NO", "VBELN")
+    return not_null(t.vbak, ["NETWR", "ERNAM", "VBELN"]).select("ROW_NO", "VBELN")
 
 
 @query("flt_positive", sql("vbap", "SELECT VBELN, POSNR, NETWR FROM vbap WHERE NETWR > 0"))

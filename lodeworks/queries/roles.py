@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lodeworks.operators.cleaning import clean
 
-_DAY = "substr(CAST({} AS STRING), 1, 10)"
+_DAY = "CAST(CAST({} AS DATE) AS STRING)"
 _TAG = (
     "'M00' || CAST(user_id % 5 + 1 AS STRING) || '_FACE_' || substr('ABC', CAST(user_id % 3 + 1 AS INT), 1) || '_' || "
     "CASE event_type WHEN 'error' THEN 'WAGAS' WHEN 'click' THEN 'TEMP' WHEN 'view' THEN 'CO' "
@@ -88,7 +88,7 @@ ROLES: dict[str, tuple[str, dict[str, str]]] = {
             "MINE_NAME": "'矿井' || CAST(l_suppkey % 5 + 2 AS STRING)",
             "SAMPLE_TYPE": _COAL,
             "SAMPLING_DATE": _DAY.format("l_shipdate"),
-            "TEST_DATE": "substr(CAST(CAST(l_shipdate AS DATE) + CAST(l_partkey % 40 - 3 AS INT) AS STRING), 1, 10)",
+            "TEST_DATE": "CAST(CAST(CAST(l_shipdate AS DATE) + CAST(l_partkey % 40 - 3 AS INT) AS DATE) AS STRING)",
             "TEST_LAB": "'LAB' || CAST(l_suppkey % 4 AS STRING)",
             "AD": "CASE WHEN l_partkey % 61 = 0 THEN NULL WHEN l_partkey % 67 = 0 THEN 0.0 - l_quantity "
             "WHEN l_partkey % 71 = 0 THEN 1200.0 ELSE l_quantity END",
@@ -135,6 +135,9 @@ ROW_ORDER = {
 }
 
 
+_SCHEMAS: dict = {}
+
+
 class Tables:
     """Given tables and their roles, read lazily; columns that a query does not use are never read."""
 
@@ -145,7 +148,11 @@ class Tables:
         return f"{self.sf_dir}/{name}.parquet"
 
     def given(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        # The schema of a given table is fixed; inferring it once spares a job per read.
+        path = self.path(name)
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in GIVEN:

@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodeworks.operators.dedup import keep_first
-from lodeworks.session import work_path
 
 LOG_SCHEMA = "snapshot_version bigint, committed_at timestamp, operation string"
 
@@ -128,11 +127,3 @@ def copy_by_subject(
         )
         report = row if report is None else report.unionByName(row)
     return report
-
-
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write an intermediate result to the shared folder and read it back: the plan ends here, and
-    the result outlives any executor."""
-    path = work_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)

@@ -5,7 +5,7 @@ import pytest
 from lodeworks.functions import half_up, mask_text, sensor_of, zfill
 from lodeworks.operators import cleaning
 from lodeworks.operators.dedup import duplicate_rows, file_order, keep_first, surplus
-from lodeworks.operators.joins import flag_member, hot_keys, orphan_counts
+from lodeworks.operators.joins import flag_member, orphan_counts
 from pyspark.sql import functions as F
 
 
@@ -66,11 +66,6 @@ def test_link_flag_with_a_key_that_holds_a_third(spark):
     assert dict(zip(flagged["n"], flagged["ok"], strict=True)) == want
 
 
-def test_hot_keys_are_few_by_construction(spark):
-    df = spark.range(10000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"))
-    assert [r.k for r in hot_keys(df, "k", 0.01).collect()] == [0]
-
-
 def test_orphan_counts(spark):
     child = spark.createDataFrame([(-1,), (-1,), (1,), (9,)], "k int")
     parent = spark.createDataFrame([(1,), (1,)], "k int")
