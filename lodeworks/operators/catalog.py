@@ -73,3 +73,19 @@ def classify(spark: SparkSession, used: DataFrame) -> DataFrame:
     """Security level of the tables in use."""
     levels = asset_reference(spark).select("system", "table_name", "security_level")
     return used.join(F.broadcast(levels), ["system", "table_name"], "left")
+
+
+def glossary_terms(glossary: DataFrame) -> DataFrame:
+    """``table_name, column_name, cn_name, business_terms array`` -> one row per business term."""
+    return glossary.select("table_name", "column_name", "cn_name", F.explode_outer("business_terms").alias("term"))
+
+
+def glossary_codes(glossary: DataFrame) -> DataFrame:
+    """``value_mappings map`` -> one row per code."""
+    return glossary.select("table_name", "column_name", F.explode("value_mappings").alias("code", "label"))
+
+
+def decode(df: DataFrame, glossary: DataFrame, table: str, column: str, alias: str) -> DataFrame:
+    """Replace codes by their labels; a code without a label gives NULL."""
+    codes = glossary_codes(glossary.where((F.col("table_name") == table) & (F.col("column_name") == column)))
+    return df.join(codes.select(F.col("code").alias(column), F.col("label").alias(alias)), column, "left")

@@ -38,7 +38,7 @@ def with_previous(
     ranked = df.withColumns(
         {"_rn": F.row_number().over(inside), **{f"_in_{n}": F.lag(c).over(inside) for n, c in carry.items()}}
     )
-    joined = ranked.join(edge, [*keys, "_bucket"])
+    joined = ranked.join(edge, [*keys, "_bucket"], "left")
     return joined.withColumns(
         {n: F.when(F.col("_rn") == 1, F.col("_edge")[c]).otherwise(F.col(f"_in_{n}")) for n, c in carry.items()}
     ).drop("_rn", "_edge", "_bucket", *[f"_in_{n}" for n in carry])
@@ -129,7 +129,7 @@ def fill_gaps(
     inside = Window.partitionBy(*keys, "_bucket").orderBy(*order_by)
     back = F.last("_p", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0))
     ahead = F.first("_p", ignorenulls=True).over(inside.rowsBetween(0, Window.unboundedFollowing))
-    joined = df.withColumns({"_back": back, "_ahead": ahead}).join(edges, [*keys, "_bucket"])
+    joined = df.withColumns({"_back": back, "_ahead": ahead}).join(edges, [*keys, "_bucket"], "left")
     lo, hi = F.coalesce("_back", "_before"), F.coalesce("_ahead", "_after")
     joined = joined.withColumns({"_lo": lo, "_hi": hi})
     t, width = _micros(F.col(ts)), F.col("_hi.t") - F.col("_lo.t")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lodeworks.operators.cleaning import clean
 from lodeworks.plans import marts
 from lodeworks.sources import tables as lake
+from lodeworks.sources.files import POSITION
 
 # --- fixed values: cleaned table by subject -> source table ---
 DWD_SOURCES = {
@@ -39,7 +40,8 @@ def build_dwd(spark: SparkSession, root: str, order_by: dict[str, list]) -> None
             continue
         name = source.split("/")[1]
         cleaned = clean(lake.read_version(spark, source_path), name, order_by.get(name))
-        lake.commit(cleaned, table_path(root, "dwd", key))
+        # The place in the raw file only says which copy was first; it is no data of the clean table.
+        lake.commit(cleaned.drop(*POSITION), table_path(root, "dwd", key))
 
 
 def build_dwa(spark: SparkSession, root: str) -> None:
@@ -55,7 +57,7 @@ def build_dwa(spark: SparkSession, root: str) -> None:
 def run(spark: SparkSession, root: str, raw: dict[str, DataFrame], order_by: dict[str, list], layer: str = "all") -> DataFrame:
     """Run one layer or all of them and report rows before and after cleaning, per table."""
     if layer in ("ods", "all"):
-        ingest_ods(root, raw)
+        ingest_ods(root, raw or {})
     if layer in ("dwd", "all"):
         build_dwd(spark, root, order_by)
     if layer in ("dwa", "all"):

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from lodeworks.constants import POINT_ALARMS, SENSOR_LIMITS
 from lodeworks.functions import bucket_case, contains, exact_avg, half_up, mask_text, sensor_of
 from lodeworks.operators.aggregates import truncated
+from lodeworks.operators.catalog import decode
 from lodeworks.operators.dedup import compare_counts, difference, distinct_by, duplicate_rows, not_null
 from lodeworks.operators.dimensions import ASH_GRADE, ASH_GRADE4, ORDER_SIZE
 from lodeworks.operators.quality import ranked_alerts
@@ -173,11 +174,12 @@ def prj_threshold_class(t):
     ),
 )
 def prj_decode(t):
-    mapping = t.spark.range(1).select(
-        F.create_map(F.lit("F"), F.lit("销售一公司"), F.lit("O"), F.lit("销售二公司")).alias("value_mappings")
+    glossary = t.spark.range(1).select(
+        F.lit("vbak").alias("table_name"),
+        F.lit("VKORG").alias("column_name"),
+        F.create_map(F.lit("F"), F.lit("销售一公司"), F.lit("O"), F.lit("销售二公司")).alias("value_mappings"),
     )
-    codes = mapping.select(F.explode("value_mappings").alias("VKORG", "label"))
-    return t.vbak.join(F.broadcast(codes), "VKORG", "left").select("ROW_NO", "VKORG", "label")
+    return decode(t.vbak.select("ROW_NO", "VKORG"), glossary, "vbak", "VKORG", "label").select("ROW_NO", "VKORG", "label")
 
 
 @query(

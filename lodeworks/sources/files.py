@@ -14,6 +14,30 @@ def read_parquet(spark: SparkSession, path: str | list[str], schema: StructType
     return reader.parquet(*([path] if isinstance(path, str) else path))
 
 
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """NaN means "no value" in files written by dataframe tools; Spark would rank it above all numbers."""
+    floats = [f.name for f in df.schema if f.dataType.simpleString() in ("double", "float")]
+    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats}) if floats else df
+
+
+# Where a raw row is stored: the order that "keep the first" refers to.
+POSITION = ["_file", "_row"]
+
+
+def read_raw(spark: SparkSession, path: str) -> DataFrame:
+    """All files of a raw table with partition values, positions, and NaN turned into NULL."""
+    raw = spark.read.option("mergeSchema", "true").parquet(path)
+    fields = [f for f in ("year", "month") if f not in raw.columns]
+    name = F.col("_metadata.file_path")
+    placed = raw.select(
+        "*",
+        name.alias("_file"),
+        F.col("_metadata.row_index").alias("_row"),
+        *[F.regexp_extract(name, rf"{f}=(\d+)", 1).try_cast("int").alias(f) for f in fields],
+    )
+    return nan_to_null(placed)
+
+
 def with_name_partitions(df: DataFrame, fields: tuple[str, ...] = ("year", "month")) -> DataFrame:
     """Partition columns out of the file path (``vbak_year=2022.parquet``); a column the data already
     has stays as it is, a field the path lacks gives NULL."""

@@ -27,6 +27,11 @@ def _file_system(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, hadoop_path = _file_system(spark, path)
+    return fs.exists(hadoop_path)
+
+
 def versions(spark: SparkSession, path: str) -> list[int]:
     """Committed version numbers, from the names of the commit files."""
     fs, log = _file_system(spark, _log_path(path))
