@@ -119,16 +119,19 @@ def fill_gaps(
     edges = df.groupBy(*keys, "_bucket").agg(
         F.min_by("_p", F.when(known, order)).alias("_first"), F.max_by("_p", F.when(known, order)).alias("_last")
     )
-    across = Window.partitionBy(*keys).orderBy("_bucket")
+    # Looking ahead is looking back in reverse order: a frame that grows is linear, a frame that
+    # shrinks towards the end is evaluated anew for each row.
+    across, across_back = (Window.partitionBy(*keys).orderBy(o) for o in (F.asc("_bucket"), F.desc("_bucket")))
     edges = edges.select(
         *keys,
         "_bucket",
         F.last("_last", ignorenulls=True).over(across.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
-        F.first("_first", ignorenulls=True).over(across.rowsBetween(1, Window.unboundedFollowing)).alias("_after"),
+        F.last("_first", ignorenulls=True).over(across_back.rowsBetween(Window.unboundedPreceding, -1)).alias("_after"),
     )
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(*order_by)
-    back = F.last("_p", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    ahead = F.first("_p", ignorenulls=True).over(inside.rowsBetween(0, Window.unboundedFollowing))
+    bucket = Window.partitionBy(*keys, "_bucket")
+    so_far = (Window.unboundedPreceding, Window.currentRow)
+    back = F.last("_p", ignorenulls=True).over(bucket.orderBy(*order_by).rowsBetween(*so_far))
+    ahead = F.last("_p", ignorenulls=True).over(bucket.orderBy(*[F.desc(c) for c in order_by]).rowsBetween(*so_far))
     joined = df.withColumns({"_back": back, "_ahead": ahead}).join(edges, [*keys, "_bucket"], "left")
     lo, hi = F.coalesce("_back", "_before"), F.coalesce("_ahead", "_after")
     joined = joined.withColumns({"_lo": lo, "_hi": hi})

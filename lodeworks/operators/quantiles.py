@@ -2,62 +2,70 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodeworks.operators.joins import attach
 
-SKETCH_ACCURACY = 10_000
+STEPS_PER_OCTAVE = 64
+SLICE_ROWS = 1_000_000
+SUB_SLICES = 65_536
+
+
+def _bucket(value: Column) -> Column:
+    """A coarse number that never falls while the value rises: 64 steps per power of two."""
+    steps = F.floor(F.least(F.log2(F.abs(value)) * STEPS_PER_OCTAVE, F.lit(1e6))) + F.lit(STEPS_PER_OCTAVE * 1100)
+    return F.when(value > 0, steps).when(value < 0, -steps).otherwise(F.lit(0).cast("bigint"))
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float]) -> DataFrame:
     """Exact, linearly interpolated quantiles: one row per key, one column per entry of ``probs``.
 
     ``percentile`` keeps every distinct value of a group in one buffer, which a group holding a
-    third of all rows would not survive. Here a mergeable sketch only proposes cut points; exact
-    counts between them tell which slice holds the wanted ranks, and only that slice (a few rows
-    per ten thousand) is ranked. A poor sketch makes the slice larger, never the answer wrong.
+    third of all rows would not survive. Here rows are counted per coarse value bucket (a hash
+    aggregate with partial sums), the counts tell which bucket holds the wanted ranks, and only that
+    bucket is ranked. A bucket that is still large is cut once more, evenly between its own bounds.
+    Equal values are counted before they are ranked. No step guesses, so the answer is exact.
     """
-    data = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    number = F.col(value).cast("double")
+    data = df.select(*keys, number.alias("_v")).where(number.isNotNull() & ~F.isnan(number))
     if not keys:
         data = data.withColumn("_all", F.lit(1))
     group = keys or ["_all"]
-
-    slack = 2.0 / SKETCH_ACCURACY
-    cuts = sorted({min(max(p + d, 0.0), 1.0) for p in probs.values() for d in (-slack, slack)})
-    sketch = data.groupBy(*group).agg(
-        F.array_distinct(F.percentile_approx("_v", cuts, SKETCH_ACCURACY)).alias("_cuts")
-    )
-    # Slice number of a row = how many cut points lie below its value.
-    sliced = attach(data, sketch, group, "inner").withColumn(
-        "_slice",
-        sum((F.when(F.col("_v") > F.get("_cuts", F.lit(i)), 1).otherwise(0) for i in range(len(cuts))), F.lit(0)),
-    )
-    slices = sliced.groupBy(*group, "_slice").agg(F.count(F.lit(1)).alias("_n"))
-    by_slice = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*group)
-    offsets = slices.withColumns(
-        {"_before": F.coalesce(F.sum("_n").over(by_slice), F.lit(0)), "_total": F.sum("_n").over(whole)}
-    )
     position = {name: F.lit(p) * (F.col("_total") - 1) for name, p in probs.items()}
-    holds = F.lit(False)
-    for name in probs:
-        low, high = F.floor(position[name]), F.ceil(position[name])
-        holds = holds | ((low < F.col("_before") + F.col("_n")) & (high >= F.col("_before")))
-    wanted = offsets.where(holds).select(*group, "_slice", "_before", "_total")
-
-    ranked = (
-        attach(sliced.select(*group, "_slice", "_v"), wanted, [*group, "_slice"], "inner")
-        .groupBy(*group, "_slice", "_before", "_total", "_v")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn(
-            "_end",
-            F.col("_before")
-            + F.sum("_n").over(
-                Window.partitionBy(*group, "_slice").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-            ),
-        )
+
+    def holds_a_rank(before: Column, n: Column) -> Column:
+        hit = F.lit(False)
+        for name in probs:
+            hit = hit | ((F.floor(position[name]) < before + n) & (F.ceil(position[name]) >= before))
+        return hit
+
+    def running(partition: list[str], order: str) -> Column:
+        window = Window.partitionBy(*partition).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("_n").over(window), F.lit(0))
+
+    data = data.withColumn("_b", _bucket(F.col("_v")))
+    counts = data.groupBy(*group, "_b").agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    counts = counts.withColumns(
+        {"_before": running(group, "_b"), "_total": F.sum("_n").over(Window.partitionBy(*group))}
     )
+    wanted = counts.where(holds_a_rank(F.col("_before"), F.col("_n"))).persist(StorageLevel.MEMORY_AND_DISK)
+    largest = wanted.agg(F.max("_n")).first()[0] or 0
+
+    place = [*group, "_b"]
+    rows = attach(data, wanted.drop("_n"), place, "inner")
+    if largest > SLICE_ROWS:
+        share = F.coalesce(F.try_divide(F.col("_v") - F.col("_lo"), F.col("_hi") - F.col("_lo")), F.lit(0.0))
+        rows = rows.withColumn("_s", F.floor(share * SUB_SLICES)).drop("_lo", "_hi")
+        subs = rows.groupBy(*place, "_before", "_total", "_s").agg(F.count(F.lit(1)).alias("_n"))
+        subs = subs.withColumn("_before", F.col("_before") + running(place, "_s"))
+        place = [*place, "_s"]
+        subs = subs.where(holds_a_rank(F.col("_before"), F.col("_n"))).select(*place, "_before", "_total")
+        rows = attach(rows.drop("_before", "_total"), subs, place, "inner")
+
+    equal = rows.groupBy(*place, "_before", "_total", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    ranked = equal.withColumn("_end", F.col("_before") + running(place, "_v") + F.col("_n"))
     picks = ranked.groupBy(*group, "_total").agg(
         *[F.min(F.when(F.col("_end") > F.floor(position[n]), F.col("_v"))).alias(f"_lo_{n}") for n in probs],
         *[F.min(F.when(F.col("_end") > F.ceil(position[n]), F.col("_v"))).alias(f"_hi_{n}") for n in probs],
@@ -65,10 +73,7 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str,
     return picks.select(
         *keys,
         *[
-            (
-                F.col(f"_lo_{n}")
-                + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * (position[n] - F.floor(position[n]))
-            ).alias(n)
+            (F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * (position[n] - F.floor(position[n]))).alias(n)
             for n in probs
         ],
     )

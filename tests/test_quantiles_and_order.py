@@ -11,13 +11,16 @@ def _frame(seed: int = 1) -> pd.DataFrame:
     hot = pd.DataFrame({"k": "hot", "v": rng.lognormal(1, 2, 30_000).round(3)})
     flat = pd.DataFrame({"k": "flat", "v": np.repeat([1.0, 2.0], [10, 5000])})
     small = pd.DataFrame({"k": [f"s{i % 40}" for i in range(500)], "v": rng.normal(0, 5, 500)})
-    one = pd.DataFrame({"k": ["one", "none"], "v": [3.5, None]})
+    one = pd.DataFrame({"k": ["one", "none", "z", "z", "z", "z"], "v": [3.5, None, 0.0, -1e-300, 1e300, -0.0]})
     return pd.concat([hot, flat, small, one], ignore_index=True)
 
 
-@pytest.mark.parametrize("accuracy", [10_000, 3])
-def test_quantiles_are_exact_even_with_a_poor_sketch(spark, monkeypatch, accuracy):
-    monkeypatch.setattr(quantiles, "SKETCH_ACCURACY", accuracy)
+@pytest.mark.parametrize("slice_rows", [1_000_000, 0])
+@pytest.mark.parametrize("steps", [64, 1])
+def test_quantiles_are_exact(spark, monkeypatch, slice_rows, steps):
+    """With one slice or two levels of slices, and with coarse buckets as well as fine ones."""
+    monkeypatch.setattr(quantiles, "SLICE_ROWS", slice_rows)
+    monkeypatch.setattr(quantiles, "STEPS_PER_OCTAVE", steps)
     pdf = _frame()
     probs = {"p0": 0.0, "p25": 0.25, "p50": 0.5, "p995": 0.995, "p100": 1.0}
     got = quantiles.exact_quantiles(spark.createDataFrame(pdf).repartition(7), ["k"], "v", probs).toPandas().set_index("k")
