@@ -32,7 +32,12 @@ HEADLINE = [
     "agg_wide_safety",
     "agg_wide_fulfillment",
     # quality: single checkpoint, full run, root causes
-    "dq_rule_run",
+    "dq_rule_run_vbak",
+    "dq_rule_run_vbap",
+    "dq_rule_run_kna1",
+    "dq_rule_run_tags",
+    "dq_rule_run_samples",
+    "dq_rule_run_doc_flow",
     "dq_checkpoint",
     "dq_check_orders",
     "dq_check_sensor",

@@ -21,15 +21,26 @@ DWD_SOURCES = {
 }
 
 
+# --- fixed values: partition columns of the landed tables ---
+ODS_PARTITIONS = {
+    "sap_erp/vbak": ["year"],
+    "sap_erp/vbap": ["year"],
+    "pi_system/tags": ["year", "month"],
+    "lims/samples": ["year"],
+    "oa/doc_flow": ["year"],
+}
+
+
 def table_path(root: str, layer: str, key: str) -> str:
     """The one place that knows where a table lives."""
     return f"{root}/{layer}/{key}"
 
 
 def ingest_ods(root: str, raw: dict[str, DataFrame]) -> None:
-    """Land every raw table as it is, all of its files."""
+    """Land every raw table as it is, all of its files, partitioned for pruning where it has the columns."""
     for key, df in raw.items():
-        lake.commit(df, table_path(root, "ods", key))
+        columns = [c for c in ODS_PARTITIONS.get(key, []) if c in df.columns]
+        lake.commit(df, table_path(root, "ods", key), partition_by=columns)
 
 
 def build_dwd(spark: SparkSession, root: str, order_by: dict[str, list]) -> None:

@@ -81,9 +81,14 @@ _single("dq_between", "samples", (c.BETWEEN, ("AD",), 0, 100))
 _single("dq_length", "kna1", (c.LENGTH, ("STCD1",), 17, 20))
 
 
-@query("dq_rule_run", sql("vbak", rules_sql("sap_erp", "vbak")))
-def dq_rule_run(t):
-    return rl.evaluate(t.vbak, rl.rules_for("sap_erp", "vbak")).select(*_NO_ERROR)
+def _rule_run(system: str, table: str) -> None:
+    @query(f"dq_rule_run_{table}", sql(table, rules_sql(system, table)))
+    def run(t):
+        return rl.evaluate(getattr(t, table), rl.rules_for(system, table)).select(*_NO_ERROR)
+
+
+for _key in TABLES:
+    _rule_run(*_key)
 
 
 def all_results(t):

@@ -13,15 +13,16 @@ from lodeworks.session import work_path
 # not bounded by the heap and it outlives an executor.
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+# Without a limit, draining a backlog would be one batch of everything.
+FILES_PER_TRIGGER = 1000
 
-def stream_table(spark: SparkSession, folder: str, name: str, files_per_trigger: int | None = None) -> DataFrame:
+
+def stream_table(spark: SparkSession, folder: str, name: str, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     """One table of a folder as a stream. ``files_per_trigger`` bounds a micro-batch, and with it
     the most rows that one key can bring into one task."""
     schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
     reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(folder)
+    return reader.option("maxFilesPerTrigger", files_per_trigger).parquet(folder)
 
 
 def event_time(df: DataFrame, ts: str = "ts", delay: str = "10 minutes") -> DataFrame:
