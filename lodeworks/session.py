@@ -41,12 +41,13 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a session that names none (a local test run) gets a temporary folder of its own.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
         base = tempfile.mkdtemp(prefix="lodeworks-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(base)
+    if not context.getCheckpointDir():
+        # From here on the context itself knows the folder, so later calls find the same one.
+        context.setCheckpointDir(base)
     return base
 
 
