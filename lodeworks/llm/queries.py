@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeworks.llm import quality_rules, url_filter
+from lodeworks.llm import pieces, pii, quality_rules, url_filter
 from lodeworks.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -46,3 +46,26 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_quality_rules")
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(table(spark, sf_dir, "documents"))
+
+
+@query("op3_personal_data")
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, sf_dir, "documents"))
+
+
+def vocabulary_path(name: str) -> str:
+    """A public tokenizer's file; the vocabularies are installed, not part of this repository."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op10_pieces")
+def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = pieces.encode_decode(table(spark, sf_dir, "documents"), vocabulary_path("piece_bpe_32k.model"))
+    return done.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
