@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeworks.llm import pieces, pii, quality_rules, url_filter
+from lodeworks.llm import neighbours, pieces, pii, quality_rules, url_filter
 from lodeworks.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -69,3 +69,8 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op8_neighbours")
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
