@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeworks.llm import neighbours, pieces, pii, quality_rules, substrings, url_filter
+from lodeworks.llm import crossentropy, neighbours, pieces, pii, quality_rules, substrings, url_filter
 from lodeworks.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -80,3 +80,8 @@ def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substrings.remove_repeats(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op6_crossentropy")
+def op6_crossentropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crossentropy.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
