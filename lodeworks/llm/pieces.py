@@ -20,6 +20,7 @@ import heapq
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ _NO_PIECE = float("-inf")
 SHORT = 64
 
 #: Remembered words per worker; when full, the memory starts afresh.
-WORDS_KEPT = 200_000
+WORDS_KEPT = 600_000
 #: Texts are encoded in groups of about this many characters.
 GROUP_CHARS = 500_000
 
@@ -57,7 +58,8 @@ class Pieces:
         self.byte_of = {k: b for b, k in self.bytes.items()}
         self.unknown = library.unk_id()
         self.by_word = not any(MARK in piece.lstrip(MARK) for piece in self.id)
-        self.known: dict[str, tuple[bytes, str]] = {}
+        self.known: dict[str, bytes] = {}
+        self.changed: dict[str, str] = {}  # words that do not come back as they were
 
     def encode(self, marked: str) -> list[int]:
         """Ids of a text whose spaces are already marks."""
@@ -121,6 +123,8 @@ class Pieces:
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids, with the mark in front still there as a space."""
+        if self.byte_of.keys().isdisjoint(ids):
+            return "".join([self.text[k] for k in ids]).replace(MARK, " ")
         parts, held = [], bytearray()
         for k in ids:
             byte = self.byte_of.get(k)
@@ -147,7 +151,9 @@ class Pieces:
                 want = [self.id[MARK]]
             if ids != want or own[1:] != text:
                 raise ValueError(f"encoding differs from the library's: {word!r}: {ids} and {want}")
-            self.known[word] = (np.asarray(ids, np.int32).tobytes(), own)
+            self.known[word] = pack(f"{len(ids)}i", *ids)
+            if own != word.replace(MARK, " "):
+                self.changed[word] = own
 
     def both(self, texts: list[str]) -> list[tuple[bytes, str]]:
         """(ids as 32-bit integers, decoded text) of each text."""
@@ -157,13 +163,15 @@ class Pieces:
             split.append(_WORD.findall(marked) if self.by_word else [marked] if t else [])
         new = list({w for words in split for w in words if w not in self.known})
         if len(self.known) + len(new) > WORDS_KEPT:
-            self.known = {}
+            self.known, self.changed = {}, {}
             new = list({w for words in split for w in words})
         self.learn(new)
         known, out = self.known, []
         for words in split:
-            found = [known[w] for w in words]
-            out.append((b"".join([f[0] for f in found]), "".join([f[1] for f in found])[1:]))
+            ids = b"".join([known[w] for w in words])
+            changed = self.changed and not self.changed.keys().isdisjoint(words)
+            text = "".join([self.changed.get(w, w) for w in words] if changed else words)
+            out.append((ids, text[1:].replace(MARK, " ")))
         return out
 
 
