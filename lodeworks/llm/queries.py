@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeworks.llm import crossentropy, neighbours, pieces, pii, quality_rules, substrings, url_filter
+from lodeworks.llm import crossentropy, decontamination, neighbours, pieces, pii, quality_rules, substrings, url_filter
 from lodeworks.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -85,3 +85,8 @@ def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_crossentropy")
 def op6_crossentropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crossentropy.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op4_decontamination")
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -16,6 +16,10 @@ import pyarrow.compute as pc
 U64 = np.uint64
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
+# Folded words: runs of ASCII letters and digits and of characters beyond ASCII, A to Z in lower case.
+_FOLDED_BLANK = np.array([not (chr(b).isalnum() or b > 127) for b in range(256)])
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[65:91] += 32
 _BYTE_VALUES = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64)
 _STEP = 0x9E3779B97F4A7C15
 _STEP_BACK = pow(_STEP, -1, 2**64)
@@ -98,8 +102,11 @@ def _hash_long(data: np.ndarray) -> np.uint64:
     return np.uint64(total % 2**64)
 
 
-def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, Words]]:
-    """(first row, row behind the last, their words) for consecutive slices of whole texts."""
+def slices(texts: pa.Array, limit: int = SLICE_BYTES, folded: bool = False) -> Iterator[tuple[int, int, Words]]:
+    """(first row, row behind the last, their words) for consecutive slices of whole texts.
+
+    ``folded`` leaves out punctuation and the case of ASCII letters.
+    """
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
@@ -107,13 +114,14 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int
     while at < len(texts):
         stop = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1)
         stop = min(stop, len(texts))
-        yield at, stop, _split(data[offsets[at] : offsets[stop]], offsets[at : stop + 1] - offsets[at])
+        part, bounds = data[offsets[at] : offsets[stop]], offsets[at : stop + 1] - offsets[at]
+        yield at, stop, _split(_FOLD[part], bounds, _FOLDED_BLANK) if folded else _split(part, bounds, _BLANK)
         at = stop
 
 
-def _split(data: np.ndarray, offsets: np.ndarray) -> Words:
+def _split(data: np.ndarray, offsets: np.ndarray, blank: np.ndarray) -> Words:
     inside = np.zeros(len(data) + 1, bool)
-    inside[:-1] = ~_BLANK[data]
+    inside[:-1] = ~blank[data]
     starts = inside.copy()
     starts[1:] &= ~inside[:-1]
     ends = ~inside
