@@ -238,13 +238,17 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     chosen = F.array(*map(F.lit, taken)) if taken else F.array().cast("array<int>")
     extra = F.filter("extra", lambda s: F.array_contains(chosen, s["kind"] * 3**LABELERS + s["code"]))
     names = F.array(*map(F.lit, KINDS))
+
+    def of_kind(k: int):
+        return lambda s: s["kind"] == k
+
     text = F.transform(
         F.array_sort(F.concat("base", extra)),
         lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string")),
     )
     return found.select(
         F.col("id").alias(id_col),
-        *(F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS[:4])),
+        *(F.size(F.filter("base", of_kind(k))).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS[:4])),
         "base_sha256",
         F.array_join(text, ",").alias("spans"),
         F.size(extra).cast("long").alias("n_added"),
