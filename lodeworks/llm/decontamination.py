@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from lodeworks.llm.words import mix, slices
 
@@ -189,10 +190,8 @@ class Index:
                 yield r, k, edits, low - int(first[r]), low + at - int(first[r])
 
 
-def find_items(
-    docs: DataFrame,
+def index_blocks(
     benchmark: DataFrame,
-    id_col: str = "doc_id",
     text_col: str = "text",
     item_col: str = "item_id",
     max_edit: float = 0.2,
@@ -202,25 +201,30 @@ def find_items(
     samples: int = 6,
     places: int = 3,
     block: int = 20_000,
-) -> DataFrame:
-    """One row per document and item found: their ids, n_edits, the item's n_words, and end_word (the
-    folded word behind the best passage)."""
-    spark = docs.sparkSession
-    doc_kind, item_kind = dict(docs.dtypes)[id_col], dict(benchmark.dtypes)[item_col]
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+) -> list:
+    """A broadcast Index for each block of about ``block`` items."""
     items = benchmark.select(F.col(item_col).alias("item"), F.col(text_col).alias("text")).where(F.col("text").isNotNull()).distinct()
     blocks = max(1, -(-items.count() // block))
-    schema = f"id {doc_kind}, item {item_kind}, n_edits int, n_words int, end_word long"
-
-    def search(part: int) -> DataFrame:
+    out = []
+    for part in range(blocks):
         mine = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == part).orderBy("item", "text").toArrow()
         entries, names = [], mine.column("item").to_pylist()
         for at, stop, w in slices(mine.column("text").combine_chunks(), folded=True):
             hashes = w.hashes()
             entries += [(names[at + r], hashes[w.first[r] : w.first[r + 1]]) for r in range(stop - at) if w.first[r + 1] - w.first[r] >= min_words]
-        shared = spark.sparkContext.broadcast(Index(entries, max_edit, ratio, walks, samples, places))
-        kind = mine.schema.field("item").type
+        out.append(benchmark.sparkSession.sparkContext.broadcast(Index(entries, max_edit, ratio, walks, samples, places)))
+    return out
+
+
+def find_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", **options) -> DataFrame:
+    """One row per document and item found: their ids, n_edits, the item's n_words, and end_word (the
+    folded word behind the best passage)."""
+    doc_kind, item_kind = dict(docs.dtypes)[id_col], dict(benchmark.dtypes)[item_col]
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    item_type = to_arrow_type(benchmark.schema[item_col].dataType)
+    schema = f"id {doc_kind}, item {item_kind}, n_edits int, n_words int, end_word long"
 
+    def search(shared) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index = shared.value
             for batch in batches:
@@ -231,7 +235,7 @@ def find_items(
                         yield pa.RecordBatch.from_arrays(
                             [
                                 batch.column("id").slice(at, stop - at).take(pa.array(r)),
-                                pa.array([index.items[i][0] for i in k], kind),
+                                pa.array([index.items[i][0] for i in k], item_type),
                                 pa.array(edits, pa.int32()),
                                 pa.array([len(index.words[i]) for i in k], pa.int32()),
                                 pa.array(end, pa.int64()),
@@ -241,6 +245,22 @@ def find_items(
 
         return rows.mapInArrow(run, schema)
 
-    found = reduce(DataFrame.unionByName, (search(k) for k in range(blocks)))
+    found = reduce(DataFrame.unionByName, map(search, index_blocks(benchmark, text_col, item_col, **options)))
     best = found.groupBy("id", "item").agg(F.min(F.struct("n_edits", "n_words", "end_word")).alias("best"))
     return best.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "best.*")
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", **options) -> DataFrame:
+    """The input rows, all columns, in which no item is found; nothing is moved."""
+
+    def without(df: DataFrame, shared) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for at, stop, w in slices(batch.column(text_col), folded=True):
+                    clean = np.ones(stop - at, bool)
+                    clean[[r for r, *_ in shared.value.find(w.hashes(), w.first)]] = False
+                    yield batch.slice(at, stop - at).filter(pa.array(clean))
+
+        return df.mapInArrow(run, df.schema)
+
+    return reduce(without, index_blocks(benchmark, text_col, item_col, **options), docs)

@@ -127,7 +127,7 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-def score_quality(
+def fit(
     docs: DataFrame,
     labels: DataFrame,
     id_col: str = "doc_id",
@@ -137,9 +137,8 @@ def score_quality(
     dimensions: int = 48,
     neighbours: int = 25,
     power: float = 4.0,
-    threshold: float = 0.7,
-) -> DataFrame:
-    """One row per input row: id, held_out, score, predicted."""
+):
+    """A broadcast Model of the labelled documents outside the held-out fold."""
     kind = dict(docs.dtypes)[id_col]
     marked = (
         labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
@@ -162,7 +161,14 @@ def score_quality(
     sample = fitted.mapInArrow(count, f"id {kind}, label double, x binary").toArrow().sort_by("id")
     x = np.frombuffer(b"".join(sample.column("x").to_pylist()), np.float16).reshape(-1, TERMS).astype(np.float32)
     model = Model(x, np.asarray(sample.column("label").to_pylist(), float), dimensions, neighbours, power)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return docs.sparkSession.sparkContext.broadcast(model)
+
+
+def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.7, **options) -> DataFrame:
+    """One row per input row: id, held_out, score, predicted."""
+    kind = dict(docs.dtypes)[id_col]
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    shared = fit(docs, labels, id_col, text_col, **options)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -176,3 +182,15 @@ def score_quality(
         "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.7, **options) -> DataFrame:
+    """The input rows, all columns, that score at least ``threshold``; nothing is moved."""
+    shared = fit(docs, labels, id_col, text_col, **options)
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, stop, own in _term_batches(batch.column(text_col)):
+                yield batch.slice(at, stop - at).filter(pa.array(shared.value.score(own) >= threshold))
+
+    return docs.mapInArrow(pick, docs.schema)
