@@ -39,11 +39,11 @@ ALERT_COSTS = [
     ("OA.dup_pct", "OA 重复流程记录", "元/条", 2.0),
 ]
 
-# --- fixed values: sensor type -> (normal high, alarm, danger) ---
+# --- fixed values: sensor type -> (normal low, normal high, alarm, danger) ---
 SENSOR_LIMITS = {
-    "WAGAS": (0.5, 0.8, 1.0),
-    "CO": (24.0, 24.0, 50.0),
-    "TEMP": (35.0, 38.0, 45.0),
+    "WAGAS": (0.0, 0.5, 0.8, 1.0),
+    "CO": (0.0, 24.0, 24.0, 50.0),
+    "TEMP": (15.0, 35.0, 38.0, 45.0),
 }
 
 # --- fixed values: equipment point -> alarm threshold (None: never alarms) ---

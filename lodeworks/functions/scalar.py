@@ -34,7 +34,8 @@ def exact_sum(value: ColumnLike, scale: int = 2) -> Column:
     return (high * F.lit(float(1 << 20)) + low) / F.lit(unit)
 
 
-def exact_avg(value: ColumnLike, scale: int = 2) -> Column:
+def exact_avg(value: ColumnLike, scale: int = 6) -> Column:
+    """Mean of numbers with up to ``scale`` decimals. Readings and lab values have three or four, money two."""
     return F.try_divide(exact_sum(value, scale), F.count(_col(value)))
 
 

@@ -41,7 +41,8 @@ SCENARIOS = {
 
 
 def raw_table(spark: SparkSession, root: str, key: str) -> DataFrame:
-    return files.read_raw(spark, f"{root}/{key}*.parquet")
+    """One table: its own file or folder, or its yearly parts, and nothing whose name only starts alike."""
+    return files.read_raw(spark, f"{root}/{key}{{,_year=*}}.parquet")
 
 
 def ingest(spark: SparkSession, raw: str, root: str, layer: str = "all") -> DataFrame:
@@ -139,6 +140,15 @@ def score_history(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.schema(HISTORY_SCHEMA).parquet(f"{out}/scores")
 
 
+def preview(df: DataFrame, out: str | None) -> None:
+    """Write the whole result if a folder is given, and show its first rows."""
+    if out:
+        df.write.mode("overwrite").parquet(out)
+        df = df.sparkSession.read.parquet(out)
+    print(f"first 20 rows{f' of {out}' if out else '; --out or --to writes all of them'}")
+    df.show(20, truncate=False)
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="lodeworks", description="Lakehouse jobs")
     commands = parser.add_subparsers(dest="command", required=True)
@@ -147,6 +157,7 @@ def main(argv: list[str] | None = None) -> None:
         sub = commands.add_parser(name)
         for flag in flags:
             sub.add_argument(f"--{flag}", required=True)
+        sub.add_argument("--work", help="shared folder for intermediate results (spark.checkpoint.dir)")
         return sub
 
     command("ingest", "raw", "lake").add_argument("--layer", default="all", choices=["ods", "dwd", "dwa", "all"])
@@ -155,16 +166,20 @@ def main(argv: list[str] | None = None) -> None:
     )
     command("subjects", "lake").add_argument("--dry-run", action="store_true")
     command("wide", "lake").add_argument("--sample", type=float, default=1.0)
-    command("scenario", "lake").add_argument("name", choices=list(SCENARIOS))
+    answers = command("scenario", "lake")
+    answers.add_argument("name", choices=list(SCENARIOS))
+    answers.add_argument("--out", help="folder for the whole result")
     checks = command("quality", "raw", "out")
     checks.add_argument("--system", default="all", choices=["all", *sorted({s for s, _ in c.QUALITY_RULES})])
     checks.add_argument("--run-date")
-    command("history", "out").add_argument("--days", type=int, default=30)
+    past = command("history", "out")
+    past.add_argument("--days", type=int, default=30)
+    past.add_argument("--to", help="folder for the whole result")
     args = parser.parse_args(argv)
     if args.command == "wide" and not 0 < args.sample <= 1:
         parser.error(f"--sample must be in (0, 1], got {args.sample}")
 
-    spark = build_session(f"lodeworks-{args.command}")
+    spark = build_session(f"lodeworks-{args.command}", **({"spark.checkpoint.dir": args.work} if args.work else {}))
     if args.command == "ingest":
         ingest(spark, args.raw, args.lake, args.layer).show(truncate=False)
     elif args.command == "dimensions":
@@ -174,11 +189,11 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "wide":
         print("version", build_wide(spark, args.lake, args.sample))
     elif args.command == "scenario":
-        scenario(spark, args.lake, args.name).show(truncate=False)
+        preview(scenario(spark, args.lake, args.name), args.out)
     elif args.command == "quality":
         run_quality(spark, args.raw, args.out, args.system, args.run_date).show(truncate=False)
     else:
-        quality.recent_history(score_history(spark, args.out), F.current_date(), args.days).show(1000, truncate=False)
+        preview(quality.recent_history(score_history(spark, args.out), F.current_date(), args.days), args.to)
 
 
 if __name__ == "__main__":

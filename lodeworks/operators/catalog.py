@@ -12,7 +12,8 @@ from lodeworks.sources.literal import literal_table
 def partitions(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Rows and size per file. Only file metadata is read: the scan needs no data column.
 
-    A partition value is taken from the directory or, failing that, from the file name.
+    The table is named by its path: a directory of part files is one table, whatever its files are
+    called. Every partition part counts (``year/month``), in directory or in file names.
     """
     result = None
     for path in paths:
@@ -21,10 +22,12 @@ def partitions(spark: SparkSession, paths: list[str]) -> DataFrame:
         )
         result = files if result is None else result.unionByName(files)
     counted = result.groupBy("file_path", "file_size").agg(F.count(F.lit(1)).alias("row_count"))
+    table_path = F.regexp_replace("file_path", r"((/[^/=]+=[^/]+)+/[^/]+|/part-[^/]*)$", "")
+    parts = lambda group: F.array_join(F.regexp_extract_all("file_path", F.lit(r"(year|month)=([^/_.]+)"), F.lit(group)), "/")
     return counted.select(
-        F.regexp_extract("file_path", r"([^/]+?)(?:_(?:year|month)=.*)?\.parquet$", 1).alias("table_name"),
-        F.regexp_extract("file_path", r"(year|month)=", 1).alias("partition_field"),
-        F.regexp_extract("file_path", r"(?:year|month)=([^/_.]+)", 1).alias("partition_value"),
+        F.regexp_extract(table_path, r"([^/]+?)(?:_(?:year|month)=.*)?(?:\.parquet)?$", 1).alias("table_name"),
+        parts(1).alias("partition_field"),
+        parts(2).alias("partition_value"),
         "file_path",
         "row_count",
         F.round(F.col("file_size") / F.lit(1024.0 * 1024.0), 3).alias("size_mb"),
@@ -54,7 +57,8 @@ def asset_reference(spark: SparkSession) -> DataFrame:
 
 
 def assets(spark: SparkSession, counts: DataFrame) -> DataFrame:
-    """Asset list: every declared table, with rows where data exists and a connection status."""
+    """Asset list: every declared table, with rows, size and partition field where data exists, and a
+    connection status. ``counts``: system, table_name, row_count, size_mb, partition_field."""
     return asset_reference(spark).join(counts, ["system", "table_name"], "left").select(
         "system",
         "table_name",
@@ -62,6 +66,8 @@ def assets(spark: SparkSession, counts: DataFrame) -> DataFrame:
         "owner",
         "security_level",
         F.coalesce("row_count", F.lit(0)).cast("bigint").alias("row_count"),
+        F.coalesce("size_mb", F.lit(0.0)).alias("size_mb"),
+        F.coalesce("partition_field", F.lit("")).alias("partition_field"),
         F.when(F.col("row_count").isNull(), "unknown")
         .when(F.col("row_count") > 0, "connected")
         .otherwise("disconnected")
@@ -69,6 +75,27 @@ def assets(spark: SparkSession, counts: DataFrame) -> DataFrame:
     )
 
 
+def table_sizes(files: DataFrame) -> DataFrame:
+    """Rows, size and partition field per table, out of ``partitions``."""
+    return files.groupBy("table_name").agg(
+        F.sum("row_count").alias("row_count"), F.sum("size_mb").alias("size_mb"), F.max("partition_field").alias("partition_field")
+    )
+
+
+def system_status(listed: DataFrame) -> DataFrame:
+    """One row per system out of ``assets``: tables, rows, size, and whether anything is connected."""
+    return listed.groupBy("system").agg(
+        F.count(F.lit(1)).alias("tables"),
+        F.count_if(F.col("status") == "connected").alias("connected_tables"),
+        F.sum("row_count").alias("row_count"),
+        F.sum("size_mb").alias("size_mb"),
+        F.when(F.bool_or(F.col("status") == "connected"), "connected")
+        .when(F.bool_or(F.col("status") == "disconnected"), "disconnected")
+        .otherwise("unknown")
+        .alias("status"),
+    )
+
+
 def classify(spark: SparkSession, used: DataFrame) -> DataFrame:
     """Security level of the tables in use."""
     levels = asset_reference(spark).select("system", "table_name", "security_level")

@@ -2,47 +2,44 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodeworks.functions import outside
 from lodeworks.sources.literal import literal_table
 
-BROADCAST_ROWS = 200_000
+#: Parts that a key's rows are dealt over when they meet a table with one row per key.
+SALTS = 16
 
 
-def attach_all(big: DataFrame, *sides: tuple, how: str = "left", max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def attach_all(big: DataFrame, *sides: tuple, how: str = "left") -> DataFrame:
     """Join per-key tables (usually aggregates) to a big table; each side is ``(table, on)``.
 
-    The per-key tables are computed once and counted, all in one job. Up to ``max_rows`` a table is
-    broadcast, so that the big side is not shuffled for it; beyond that the join is left to Spark
-    (sort-merge, with adaptive splitting of skewed partitions).
+    How each join runs is left to the planner's byte statistics and to adaptive execution, which
+    knows the size of an aggregate once it is there and broadcasts it if it is small.
     """
-    smalls = [side.persist(StorageLevel.MEMORY_AND_DISK) for side, _ in sides]
-    counts = [s.agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n") for i, s in enumerate(smalls)]
-    sizes = {row.i: row.n for row in reduce(DataFrame.unionByName, counts).collect()}
-    for i, (small, (_, on)) in enumerate(zip(smalls, sides, strict=True)):
-        big = big.join(F.broadcast(small) if sizes[i] <= max_rows else small, on, how)
+    for small, on in sides:
+        big = big.join(small, on, how)
     return big
 
 
-def attach(big: DataFrame, small: DataFrame, on, how: str = "left", max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    return attach_all(big, (small, on), how=how, max_rows=max_rows)
+def attach(big: DataFrame, small: DataFrame, on, how: str = "left") -> DataFrame:
+    return attach_all(big, (small, on), how=how)
 
 
 def flag_member(child: DataFrame, parent: DataFrame, key: str, flag: str, parent_key: str | None = None) -> DataFrame:
     """Add a boolean column: does the key exist in the parent table? NULL gives false.
 
-    The parent side is one row per key. While its size (known to Spark from the files) is small it
-    is broadcast and the child rows stay where they are. Beyond that both sides meet by key, and a
-    partition that a sentinel or NULL key blows up is split by the adaptive skew handling, which
-    copies only the one parent row it needs.
+    The parent side is one row per key. A small one is broadcast. Otherwise a sentinel or NULL key
+    may hold a large share of the child rows: these are dealt over ``SALTS`` parts by a hash of the
+    row, and the parent's one row is there for each. The salt also puts an exchange of its own over
+    both sides, so that adaptive execution can split what is still too large.
     """
     known = parent.select(F.col(parent_key or key).alias(key)).where(F.col(key).isNotNull()).distinct()
-    joined = child.join(known.withColumn("_hit", F.lit(True)), key, "left")
+    known = known.select(key, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"), F.lit(True).alias("_hit"))
+    plain = [f.name for f in child.schema if "map<" not in f.dataType.simpleString() and f.dataType.simpleString() != "variant"]
+    salted = child.withColumn("_salt", F.pmod(F.xxhash64(*plain), F.lit(SALTS)).cast("int"))
+    joined = salted.join(known, [key, "_salt"], "left")
     return joined.select(*child.columns, F.coalesce("_hit", F.lit(False)).alias(flag))
 
 

@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodeworks.constants import DIRECT_TRANSFORMS, LAYER_ORDER, TRANSFORM_LABELS
-from lodeworks.operators.joins import BROADCAST_ROWS
-from lodeworks.session import shared_dir
+from lodeworks.session import work_path
 
 
 def node(platform: str, table: str) -> Column:
@@ -32,32 +31,34 @@ def downstream(edges: DataFrame, name: str) -> DataFrame:
     return edges.where(F.col("src") == name).select(F.col("dst").alias("node")).distinct().orderBy("node")
 
 
-def reach(edges: DataFrame, start: str, forward: bool = True, max_depth: int = 64) -> DataFrame:
+def reach(edges: DataFrame, start: str, forward: bool = True) -> DataFrame:
     """All nodes reachable from ``start`` with the length of the longest path to them.
 
-    Ordering by that depth is a topological order. Each round holds the distinct nodes at exactly
-    that distance and is checkpointed, so the plan stays short. The loop counts levels, not rows.
-    A small level is broadcast to the edges; a large one meets them by key. A graph with a cycle
-    has no topological order and is refused.
+    Ordering by that depth is a topological order. The edges are written once; each round holds the
+    distinct nodes at exactly that distance and is written too, so the plan stays short. The loop
+    counts levels, not rows, and ends with an empty level. A graph with a cycle has no topological
+    order: a level deeper than there are nodes proves one, and it is refused.
     """
+    spark = edges.sparkSession
     a, b = ("src", "dst") if forward else ("dst", "src")
-    shared_dir(edges.sparkSession)
-    hops = edges.select(F.col(a).alias("node"), F.col(b).alias("next"))
-    level = hops.where(F.col("node") == start).select(F.col("next").alias("node")).distinct().checkpoint()
-    found = None
-    for depth in range(1, max_depth + 1):
-        size = level.count()
-        if size == 0:
-            break
-        seen = level.withColumn("depth", F.lit(depth))
-        found = seen if found is None else found.unionByName(seen)
-        near = F.broadcast(level) if size <= BROADCAST_ROWS else level
-        level = hops.join(near, "node", "left_semi").select(F.col("next").alias("node")).distinct().checkpoint()
-    else:
-        raise ValueError(f"no end after {max_depth} levels: the graph has a cycle or is deeper")
-    if found is None:
-        return edges.sparkSession.createDataFrame([], "node string, depth int")
-    return found.groupBy("node").agg(F.max("depth").alias("depth"))
+    folder = work_path(spark, "reach")
+    edges.select(F.col(a).alias("node"), F.col(b).alias("next")).distinct().write.parquet(f"{folder}/edges")
+    hops = spark.read.parquet(f"{folder}/edges")
+    nodes = None
+
+    def written(level: DataFrame, depth: int) -> DataFrame:
+        level.select(F.col("next").alias("node")).distinct().write.parquet(f"{folder}/levels/depth={depth}")
+        return spark.read.schema("node string").parquet(f"{folder}/levels/depth={depth}")
+
+    depth, level = 1, written(hops.where(F.col("node") == start), 1)
+    while not level.isEmpty():
+        if depth >= 64:  # deep: see how deep it can be at all
+            nodes = nodes or hops.select("node").union(hops.select("next")).distinct().count()
+            if depth > nodes:
+                raise ValueError(f"no end after {depth} levels over {nodes} nodes: the graph has a cycle")
+        depth, level = depth + 1, written(hops.join(level, "node", "left_semi"), depth + 1)
+    levels = spark.read.schema("node string, depth int").option("basePath", f"{folder}/levels").parquet(f"{folder}/levels")
+    return levels.groupBy("node").agg(F.max("depth").alias("depth"))
 
 
 def blast_radius(edges: DataFrame, start: str) -> DataFrame:
@@ -70,14 +71,12 @@ def ancestors(edges: DataFrame, start: str) -> DataFrame:
 
 
 def column_lineage(relations: DataFrame) -> DataFrame:
-    """Column mappings of single-upstream relations; ``*`` means all columns, no transform IDENTITY."""
-    mapped = relations.where(F.size("upstream") == 1).select(
-        node("downstream.platform", "downstream.table").alias("dst"),
-        F.concat_ws(
-            ".", F.col("upstream")[0]["platform"].cast("string"), F.col("upstream")[0]["table"].cast("string")
-        ).alias("src"),
-        F.explode("mappings").alias("m"),
-    )
+    """Column mappings, one row per upstream table of a relation; ``*`` means all columns, no
+    transform IDENTITY. With several upstreams a mapping does not say which one it reads, so it is
+    told for each."""
+    mapped = relations.select(
+        node("downstream.platform", "downstream.table").alias("dst"), F.explode("upstream").alias("up"), "mappings"
+    ).select("dst", node("up.platform", "up.table").alias("src"), F.explode("mappings").alias("m"))
     return mapped.select(
         "src",
         F.when(F.col("m.upstream_column") == "*", F.lit("ALL_COLUMNS")).otherwise(F.col("m.upstream_column")).alias("src_column"),

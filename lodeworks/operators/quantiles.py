@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodeworks.operators.joins import attach
 
 STEPS_PER_OCTAVE = 64
-SLICE_ROWS = 1_000_000
 SUB_SLICES = 65_536
 
 
@@ -25,7 +23,7 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str,
     ``percentile`` keeps every distinct value of a group in one buffer, which a group holding a
     third of all rows would not survive. Here rows are counted per coarse value bucket (a hash
     aggregate with partial sums), the counts tell which bucket holds the wanted ranks, and only that
-    bucket is ranked. A bucket that is still large is cut once more, evenly between its own bounds.
+    bucket is looked at again: it is cut evenly between its own bounds, and the slice with the ranks is ranked.
     Equal values are counted before they are ranked. No step guesses, so the answer is exact.
     """
     number = F.col(value).cast("double")
@@ -50,19 +48,18 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str,
     counts = counts.withColumns(
         {"_before": running(group, "_b"), "_total": F.sum("_n").over(Window.partitionBy(*group))}
     )
-    wanted = counts.where(holds_a_rank(F.col("_before"), F.col("_n"))).persist(StorageLevel.MEMORY_AND_DISK)
-    largest = wanted.agg(F.max("_n")).first()[0] or 0
+    wanted = counts.where(holds_a_rank(F.col("_before"), F.col("_n"))).drop("_n")
 
     place = [*group, "_b"]
-    rows = attach(data, wanted.drop("_n"), place, "inner")
-    if largest > SLICE_ROWS:
-        share = F.coalesce(F.try_divide(F.col("_v") - F.col("_lo"), F.col("_hi") - F.col("_lo")), F.lit(0.0))
-        rows = rows.withColumn("_s", F.floor(share * SUB_SLICES)).drop("_lo", "_hi")
-        subs = rows.groupBy(*place, "_before", "_total", "_s").agg(F.count(F.lit(1)).alias("_n"))
-        subs = subs.withColumn("_before", F.col("_before") + running(place, "_s"))
-        place = [*place, "_s"]
-        subs = subs.where(holds_a_rank(F.col("_before"), F.col("_n"))).select(*place, "_before", "_total")
-        rows = attach(rows.drop("_before", "_total"), subs, place, "inner")
+    rows = attach(data, wanted, place, "inner")
+    # A bucket is cut evenly between its own bounds, and only the slice that holds the rank is ranked.
+    share = F.coalesce(F.try_divide(F.col("_v") - F.col("_lo"), F.col("_hi") - F.col("_lo")), F.lit(0.0))
+    rows = rows.withColumn("_s", F.floor(share * SUB_SLICES)).drop("_lo", "_hi")
+    subs = rows.groupBy(*place, "_before", "_total", "_s").agg(F.count(F.lit(1)).alias("_n"))
+    subs = subs.withColumn("_before", F.col("_before") + running(place, "_s"))
+    place = [*place, "_s"]
+    subs = subs.where(holds_a_rank(F.col("_before"), F.col("_n"))).select(*place, "_before", "_total")
+    rows = attach(rows.drop("_before", "_total"), subs, place, "inner")
 
     equal = rows.groupBy(*place, "_before", "_total", "_v").agg(F.count(F.lit(1)).alias("_n"))
     ranked = equal.withColumn("_end", F.col("_before") + running(place, "_v") + F.col("_n"))

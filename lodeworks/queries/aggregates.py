@@ -397,16 +397,16 @@ def agg_dwm_sales_daily(t):
     sql(
         "samples",
         f"SELECT MINE_CODE, SAMPLE_TYPE, substr(SAMPLING_DATE, 1, 7) AS month, {half(davg('AD'), 4)} AS avg_ash, {half(davg('QGR_AD'), 4)} AS avg_calorific, "
-        "count(*) FILTER (WHERE AD >= lo AND AD <= hi) * CAST(1 AS DOUBLE) / count(*) AS pass_rate FROM samples JOIN ranges USING (SAMPLE_TYPE) GROUP BY 1, 2, 3",
+        "count(*) FILTER (WHERE AD >= lo AND AD <= hi) * CAST(1 AS DOUBLE) / NULLIF(count(lo), 0) AS pass_rate FROM samples LEFT JOIN ranges USING (SAMPLE_TYPE) GROUP BY 1, 2, 3",
         ranges=RANGES_SQL,
     ),
 )
 def agg_dwm_coal_grade(t):
-    ranged = with_ranges(t.samples, ASH_RANGES, "SAMPLE_TYPE").where(F.col("lo").isNotNull())
+    ranged = with_ranges(t.samples, ASH_RANGES, "SAMPLE_TYPE")
     return ranged.groupBy("MINE_CODE", "SAMPLE_TYPE", month_of("SAMPLING_DATE").alias("month")).agg(
         half_up(exact_avg("AD"), 4).alias("avg_ash"),
         half_up(exact_avg("QGR_AD"), 4).alias("avg_calorific"),
-        ratio(F.count_if((F.col("AD") >= F.col("lo")) & (F.col("AD") <= F.col("hi"))), F.count(F.lit(1))).alias("pass_rate"),
+        ratio(F.count_if((F.col("AD") >= F.col("lo")) & (F.col("AD") <= F.col("hi"))), F.count("lo")).alias("pass_rate"),
     )
 
 

@@ -6,7 +6,7 @@ from lodeworks.constants import ASH_RANGES
 from lodeworks.functions import bridge_mine, clamp, exact_avg, half_up, outside
 from lodeworks.operators import dimensions
 from lodeworks.operators.cleaning import mark_valid_link
-from lodeworks.operators.joins import attach, orphan_counts, trace_orders, with_ranges
+from lodeworks.operators.joins import attach, orphan_counts, orphans, trace_orders, with_ranges
 from lodeworks.operators.quantiles import exact_quantiles
 from lodeworks.plans import marts
 from lodeworks.queries.registry import query
@@ -115,6 +115,12 @@ def join_anti_orphans(t):
     return orphan_counts(t.vbap, t.vbak, "VBELN")
 
 
+@query("join_anti_orphan_rows", sql("vbap vbak", "SELECT VBELN, POSNR, MATNR FROM vbap WHERE VBELN IS NULL OR VBELN NOT IN (SELECT VBELN FROM vbak WHERE VBELN IS NOT NULL)"))
+def join_anti_orphan_rows(t):
+    """The rows without a parent themselves."""
+    return orphans(t.vbap, t.vbak, "VBELN").select("VBELN", "POSNR", "MATNR")
+
+
 @query(
     "join_dim",
     sql(

@@ -177,13 +177,8 @@ _COUNTS = " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count
 
 @query("cat_partitions", _COUNTS)
 def cat_partitions(t):
-    return catalog.partitions(t.spark, [t.path(n) for n in GIVEN]).select("table_name", "row_count")
-
-
-@query("cat_partition_files")
-def cat_partition_files(t):
-    """With sizes and paths, which SQL over views cannot see."""
-    return catalog.partitions(t.spark, [t.path(n) for n in GIVEN])
+    """Rows per table, be it one file or many. Files, sizes and partition values are for tests to see."""
+    return catalog.table_sizes(catalog.partitions(t.spark, [t.path(n) for n in GIVEN])).select("table_name", "row_count")
 
 
 @query(
@@ -208,7 +203,7 @@ ASSET_TABLES = {
 }
 _ASSETS_SQL = " UNION ALL ".join(
     f"SELECT '{system}' AS system, '{table}' AS table_name, '{label}' AS label, '{owner}' AS owner, '{level}' AS security_level, "
-    + (f"count(*) AS row_count, 'connected' AS status FROM {ASSET_TABLES[system, table]}" if (system, table) in ASSET_TABLES else "0, 'unknown'")
+    + (f"count(*) AS row_count, '' AS partition_field, 'connected' AS status FROM {ASSET_TABLES[system, table]}" if (system, table) in ASSET_TABLES else "0, '', 'unknown'")
     for system, (owner, level, tables) in SYSTEM_ASSETS.items()
     for table, label in tables.items()
 )
@@ -216,14 +211,23 @@ _ASSETS_SQL = " UNION ALL ".join(
 
 def _asset_counts(t):
     files = sorted(set(ASSET_TABLES.values()))
-    counts = catalog.partitions(t.spark, [t.path(n) for n in files]).groupBy("table_name").agg(F.sum("row_count").alias("row_count"))
+    counts = catalog.table_sizes(catalog.partitions(t.spark, [t.path(n) for n in files]))
     roles = literal_table(t.spark, [(*k, v) for k, v in ASSET_TABLES.items()], "system string, role string, table_name string")
-    return roles.join(counts, "table_name").select("system", F.col("role").alias("table_name"), "row_count")
+    return roles.join(counts, "table_name").select("system", F.col("role").alias("table_name"), "row_count", "size_mb", "partition_field")
 
 
 @query("cat_assets", _ASSETS_SQL)
 def cat_assets(t):
-    return catalog.assets(t.spark, _asset_counts(t))
+    return catalog.assets(t.spark, _asset_counts(t)).drop("size_mb")  # SQL over views knows no file sizes
+
+
+@query(
+    "cat_system_status",
+    f"SELECT system, count(*) AS tables, count(*) FILTER (WHERE status = 'connected') AS connected_tables, CAST(sum(row_count) AS BIGINT) AS row_count, "
+    f"CASE WHEN bool_or(status = 'connected') THEN 'connected' ELSE 'unknown' END AS status FROM ({_ASSETS_SQL}) GROUP BY system",
+)
+def cat_system_status(t):
+    return catalog.system_status(catalog.assets(t.spark, _asset_counts(t))).drop("size_mb")
 
 
 _CLASSIFY_SQL = " UNION ALL ".join(
@@ -234,4 +238,4 @@ _CLASSIFY_SQL = " UNION ALL ".join(
 
 @query("cat_classify", _CLASSIFY_SQL)
 def cat_classify(t):
-    return catalog.classify(t.spark, _asset_counts(t))
+    return catalog.classify(t.spark, _asset_counts(t).select("system", "table_name", "row_count"))

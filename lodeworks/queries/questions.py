@@ -14,7 +14,7 @@ def _avg(column: str, digits: int = 4) -> str:
     """Rounded exact mean in Spark SQL, the twin of ``half(davg(...))``. The tables asked here are
     aggregates, so decimal sums cost little."""
     scale = float(10**digits)
-    return f"CAST(floor(try_divide(CAST(sum(CAST({column} AS DECIMAL(18,2))) AS DOUBLE), count({column})) * {scale}D + 0.5D) AS DOUBLE) / {scale}D"
+    return f"CAST(floor(try_divide(CAST(sum(CAST({column} AS DECIMAL(18,6))) AS DOUBLE), count({column})) * {scale}D + 0.5D) AS DOUBLE) / {scale}D"
 
 
 def _lab(t):

@@ -138,31 +138,33 @@ def prj_flag_range(t):
 
 
 _SENSOR = "SELECT * FROM (VALUES " + ", ".join(
-    f"('{s}', CAST({n} AS DOUBLE), CAST({a} AS DOUBLE), CAST({d} AS DOUBLE))" for s, (n, a, d) in SENSOR_LIMITS.items()
-) + ") AS v(sensor, normal_high, alarm, danger)"
+    f"('{s}', CAST({w} AS DOUBLE), CAST({n} AS DOUBLE), CAST({a} AS DOUBLE), CAST({d} AS DOUBLE))" for s, (w, n, a, d) in SENSOR_LIMITS.items()
+) + ") AS v(sensor, normal_low, normal_high, alarm, danger)"
 
 
 @query(
     "prj_threshold_class",
     sql(
         "tags",
-        "SELECT row_no, sensor, CASE WHEN value >= danger THEN 'danger' WHEN value >= alarm THEN 'alarm' "
-        "WHEN value <= normal_high THEN 'normal' WHEN value IS NULL THEN NULL ELSE 'raised' END AS class "
-        "FROM tags JOIN limits ON regexp_extract(tag, '^[^_]+_FACE_[A-Z]_([A-Z0-9_]+)$', 1) = sensor",
+        "SELECT row_no, nullif(regexp_extract(tag, '^[^_]+_FACE_[A-Z]_([A-Z0-9_]+)$', 1), '') AS sensor, CASE WHEN value >= danger THEN 'danger' WHEN value >= alarm THEN 'alarm' "
+        "WHEN value < normal_low THEN 'low' WHEN value <= normal_high THEN 'normal' WHEN value IS NULL OR sensor IS NULL THEN NULL ELSE 'raised' END AS class "
+        "FROM tags LEFT JOIN limits ON regexp_extract(tag, '^[^_]+_FACE_[A-Z]_([A-Z0-9_]+)$', 1) = sensor",
         limits=_SENSOR,
     ),
 )
 def prj_threshold_class(t):
     rows = [(s, *v) for s, v in SENSOR_LIMITS.items()]
-    limits = literal_table(t.spark, rows, "sensor string, normal_high double, alarm double, danger double")
+    limits = literal_table(t.spark, rows, "sensor string, normal_low double, normal_high double, alarm double, danger double")
     label = (
         F.when(F.col("value") >= F.col("danger"), "danger")
         .when(F.col("value") >= F.col("alarm"), "alarm")
+        .when(F.col("value") < F.col("normal_low"), "low")
         .when(F.col("value") <= F.col("normal_high"), "normal")
-        .when(F.col("value").isNotNull(), "raised")
+        .when(F.col("value").isNotNull() & F.col("danger").isNotNull(), "raised")
     )
+    """Every reading; sensors without limits have no class."""
     tagged = t.tags.withColumn("sensor", sensor_of("tag"))
-    return tagged.join(F.broadcast(limits), "sensor").select("row_no", "sensor", label.alias("class"))
+    return tagged.join(F.broadcast(limits), "sensor", "left").select("row_no", F.nullif("sensor", F.lit("")).alias("sensor"), label.alias("class"))
 
 
 @query(

@@ -183,7 +183,7 @@ def dsum(expr: str, scale: int = 2) -> str:
     return f"CAST(sum(CAST({expr} AS DECIMAL(18,{scale}))) AS DOUBLE)"
 
 
-def davg(expr: str, scale: int = 2) -> str:
+def davg(expr: str, scale: int = 6) -> str:
     return f"({dsum(expr, scale)} / NULLIF(count({expr}), 0))"
 
 

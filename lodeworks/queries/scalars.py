@@ -80,11 +80,12 @@ def fn_regex_extract(t):
 
 @query(
     "fn_regex_match",
-    sql("kna1", "SELECT KUNNR, regexp_matches(STCD1, '^[0-9]{18}$') AS is_code, regexp_matches(NAME1, '[0-9]') AS has_digit FROM kna1 WHERE STCD1 IS NOT NULL AND NAME1 IS NOT NULL"),
+    sql("kna1", "SELECT KUNNR, coalesce(regexp_matches(STCD1, '^[0-9]{18}$'), FALSE) AS is_code, coalesce(regexp_matches(NAME1, '[0-9]'), FALSE) AS has_digit FROM kna1"),
 )
 def fn_regex_match(t):
-    named = t.kna1.where("STCD1 IS NOT NULL AND NAME1 IS NOT NULL")
-    return named.select("KUNNR", F.col("STCD1").rlike(r"^\d{18}$").alias("is_code"), F.col("NAME1").rlike(r"\d").alias("has_digit"))
+    """Every row; NULL does not match."""
+    found = {"is_code": F.col("STCD1").rlike(r"^\d{18}$"), "has_digit": F.col("NAME1").rlike(r"\d")}
+    return t.kna1.select("KUNNR", *(F.coalesce(c, F.lit(False)).alias(name) for name, c in found.items()))
 
 
 @query("fn_length", sql("kna1", "SELECT KUNNR, coalesce(length(NAME1) < 4, FALSE) AS is_short, CAST(coalesce(length(STCD1), 0) AS INTEGER) AS code_length FROM kna1"))

@@ -146,10 +146,11 @@ def _two_versions(t, label):
 )
 def snk_history(t):
     path = _two_versions(t, "history")
-    rows = t.spark.read.option("basePath", path).parquet(f"{path}/snapshot_version=*")
-    counts = rows.groupBy(F.col("snapshot_version").cast("bigint").alias("snapshot_version")).agg(
-        F.count(F.lit(1)).alias("row_count")
-    )
+    sizes = [
+        lake.read_version(t.spark, path, v).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(v).cast("bigint").alias("snapshot_version"), "row_count")
+        for v in (0, 1)
+    ]
+    counts = sizes[0].unionByName(sizes[1])
     return lake.history(t.spark, path).select("snapshot_version", "operation").join(counts, "snapshot_version")
 
 

@@ -39,11 +39,14 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only a session that names none (a local test run) gets a temporary folder of its own.
+    Only a local session that names none (a test run) gets a temporary folder of its own; on a cluster
+    a folder of the driver's machine would be of no use, and the setting is asked for.
     """
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="lodeworks-")
     if not context.getCheckpointDir():
         # From here on the context itself knows the folder, so later calls find the same one.

@@ -1,13 +1,14 @@
 """Versioned tables: Parquet with one folder per snapshot and one small commit file per version.
 
 A snapshot becomes visible when its commit file is created, after its data; a job that dies
-half-way leaves a folder nobody reads. Creating the commit file fails if another writer took the
-version first.
+half-way leaves a folder nobody reads. Every writer has a folder of its own, which the commit file
+names; creating that file fails if another writer took the version first, and changes nothing then.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,11 +58,13 @@ def commit(df: DataFrame, path: str, operation: str = "OVERWRITE", partition_by:
     """Write a full snapshot as the next version."""
     spark = df.sparkSession
     version = latest_version(spark, path) + 1
-    writer = df.write.mode("overwrite")
+    writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(f"{path}/snapshot_version={version}")
+    folder = f"snapshot-{version}-{uuid.uuid4().hex}"
+    writer.parquet(f"{path}/{folder}")
     entry = {
+        "folder": folder,
         "snapshot_version": version,
         "committed_at": datetime.now(timezone.utc).isoformat(timespec="milliseconds"),
         "operation": operation,
@@ -78,7 +81,8 @@ def read_version(spark: SparkSession, path: str, version: int | None = None) ->
     version = latest_version(spark, path) if version is None else version
     if version < 0:
         raise FileNotFoundError(f"no committed version under {path}")
-    return spark.read.parquet(f"{path}/snapshot_version={version}")
+    log = spark.read.schema("folder string").json(f"{_log_path(path)}/{version}.json")
+    return spark.read.parquet(f"{path}/{log.first().folder}")
 
 
 def read_as_of(spark: SparkSession, path: str, moment: Column) -> DataFrame:

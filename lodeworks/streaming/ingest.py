@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from lodeworks.session import work_path
 from lodeworks.sources import tables as lake
 from lodeworks.sources.files import with_audit
 from lodeworks.streaming.io import run_append, run_batches
@@ -21,8 +22,15 @@ def upsert_increments(stream: DataFrame, path: str, keys: list[str], newest: lis
 
 
 def overwrite_increments(stream: DataFrame, path: str) -> None:
-    """Master data: each delivery replaces the table."""
-    run_batches(stream, "overwrite", lambda batch, _: _unless_empty(batch, lambda b: lake.commit(b, path)))
+    """Master data: each delivery replaces the table. A delivery is what one run of the job finds;
+    however many batches bring it, they are put aside and committed together."""
+    spark = stream.sparkSession
+    aside = work_path(spark, "delivery")
+    # The batch number in the path makes a repeated batch replace itself.
+    run_batches(stream, "overwrite", lambda batch, no: batch.write.mode("overwrite").parquet(f"{aside}/batch={no}"))
+    if lake.exists(spark, aside):
+        delivery = spark.read.schema(stream.schema).option("recursiveFileLookup", "true").parquet(aside)
+        _unless_empty(delivery, lambda rows: lake.commit(rows, path))
 
 
 def _unless_empty(batch: DataFrame, action) -> None:

@@ -18,11 +18,18 @@ FILES_PER_TRIGGER = 1000
 
 
 def stream_table(spark: SparkSession, folder: str, name: str, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
-    """One table of a folder as a stream. ``files_per_trigger`` bounds a micro-batch, and with it
-    the most rows that one key can bring into one task."""
-    schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
-    return reader.option("maxFilesPerTrigger", files_per_trigger).parquet(folder)
+    """One table of a folder as a stream, be it one file or a directory of files.
+
+    ``files_per_trigger`` bounds a micro-batch, and with it the most rows that one key can bring into
+    one task. Files are taken in the order of their times; between batches the watermark moves, so
+    the delay given to ``event_time`` must cover the disorder between files.
+    """
+    path = f"{folder}/{name}.parquet"
+    reader = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", files_per_trigger)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place).isDirectory():
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
 
 
 def event_time(df: DataFrame, ts: str = "ts", delay: str = "10 minutes") -> DataFrame:

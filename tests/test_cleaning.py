@@ -2,7 +2,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from lodeworks.functions import half_up, mask_text, sensor_of, zfill
+from lodeworks.functions import exact_avg, half_up, mask_text, sensor_of, zfill
 from lodeworks.operators import cleaning
 from lodeworks.operators.dedup import duplicate_rows, file_order, keep_first, surplus
 from lodeworks.operators.joins import flag_member, orphan_counts
@@ -97,3 +97,20 @@ def test_scalars(spark):
         mask_text(F.lit("91"), 4).alias("e"),
     ).first()
     assert tuple(row) == (0.13, "00012", "CO2", "9141********", "91")
+
+
+def test_readings_keep_their_decimals(spark):
+    tags = spark.createDataFrame([("M001_FACE_A_WAGAS", v) for v in (0.0042, 0.0043, 0.0048)], "tag string, value double")
+    assert round(tags.agg(exact_avg("value")).first()[0], 4) == 0.0044
+
+
+def test_a_hot_key_is_dealt_over_several_parts(spark):
+    child = spark.range(30_000).selectExpr("id", "if(id % 3 = 0, id, -1) AS k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        flagged = flag_member(child, spark.range(20_000).selectExpr("id AS k"), "k", "known")
+        assert "_salt" in flagged._jdf.queryExecution().executedPlan().toString()
+        counts = {r.known: r["count"] for r in flagged.groupBy("known").count().collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert counts == {True: 6_667, False: 23_333}

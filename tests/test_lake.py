@@ -27,7 +27,7 @@ def test_versions(spark):
 def test_uncommitted_snapshot_is_invisible(spark):
     path = work_path(spark, "t")
     lake.commit(spark.range(3), path)
-    spark.range(99).write.parquet(f"{path}/snapshot_version=1")
+    spark.range(99).write.parquet(f"{path}/snapshot-1-abandoned")
     assert lake.read_version(spark, path).count() == 3
     assert lake.commit(spark.range(4), path) == 1
     assert lake.read_version(spark, path).count() == 4
@@ -51,7 +51,7 @@ def test_partition_values_in_file_names(spark, tmp_path):
     rows = files.with_name_partitions(spark.read.parquet(str(tmp_path / "*.parquet"))).orderBy("v").collect()
     assert [(r.v, r.year, r.month) for r in rows] == [(1, 2023, 6), (2, 2023, 6), (3, None, None)]
     parts = {r.table_name: r for r in catalog.partitions(spark, [str(tmp_path)]).collect()}
-    assert parts["tags"].row_count == 2 and parts["tags"].partition_value == "2023" and parts["kna1"].partition_field == ""
+    assert parts["tags"].row_count == 2 and parts["tags"].partition_value == "2023/06" and parts["tags"].partition_field == "year/month" and parts["kna1"].partition_field == ""
 
 
 def test_layers_skip_absent_sources(spark):
@@ -103,7 +103,7 @@ def test_blast_radius_is_topological(spark):
 
 def test_a_cycle_is_refused(spark):
     with pytest.raises(ValueError, match="cycle"):
-        lineage.reach(_edges(spark, [("a", "b"), ("b", "a")]), "a", max_depth=5)
+        lineage.reach(_edges(spark, [("a", "b"), ("b", "a")]), "a")
 
 
 def test_transform_summary(spark):
@@ -115,3 +115,27 @@ def test_transform_summary(spark):
 def test_layer_order(spark):
     nodes = spark.createDataFrame([("dwa.x",), ("zzz.y",), ("sap_erp.v",), ("dwd.a",)], "node string")
     assert [r.node for r in lineage.by_layer(nodes).collect()] == ["sap_erp.v", "dwd.a", "dwa.x", "zzz.y"]
+
+
+def test_a_refused_writer_changes_nothing(spark, monkeypatch):
+    path = work_path(spark, "raced")
+    assert lake.commit(spark.range(3), path) == 0
+    # Both writers saw no version; the second finds the commit file taken.
+    monkeypatch.setattr(lake, "latest_version", lambda *_: -1)
+    with pytest.raises(Exception, match="exist"):
+        lake.commit(spark.range(100, 200), path)
+    monkeypatch.undo()
+    assert sorted(r.id for r in lake.read_version(spark, path).collect()) == [0, 1, 2]
+
+
+def test_a_chain_of_seventy_edges(spark):
+    got = lineage.blast_radius(_edges(spark, [(f"n{i:02d}", f"n{i + 1:02d}") for i in range(70)]), "n00").collect()
+    assert len(got) == 70 and got[-1].depth == 70
+
+
+def test_catalog_sees_a_directory_as_one_table(spark, tmp_path):
+    spark.range(10).repartition(3).write.parquet(str(tmp_path / "orders.parquet"))
+    spark.range(8).selectExpr("id", "2023 AS year", "id % 2 AS month").write.partitionBy("year", "month").parquet(str(tmp_path / "tags"))
+    files = catalog.partitions(spark, [str(tmp_path / "orders.parquet"), str(tmp_path / "tags")])
+    sizes = {r.table_name: r for r in catalog.table_sizes(files).collect()}
+    assert sizes["orders"].row_count == 10 and sizes["tags"].row_count == 8 and sizes["tags"].partition_field == "year/month"

@@ -111,3 +111,16 @@ def test_upsert_stream_over_several_batches(spark, tmp_path):
     ingest.upsert_increments(stream, path, ["k"], ["seq"])
     assert {r.k: r.v for r in lake.read_version(spark, path).collect()} == {1: "e", 2: "f", 3: "d"}
     assert lake.latest_version(spark, path) == 2
+
+
+def test_a_directory_table_streams_all_its_files(spark, tmp_path):
+    spark.range(1000).repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    assert io.run_append(io.stream_table(spark, str(tmp_path), "events", 1), "folder").count() == 1000
+
+
+def test_a_delivery_in_several_batches_stays_whole(spark, tmp_path):
+    spark.range(30).repartition(3).write.parquet(str(tmp_path / "master.parquet"))
+    path = work_path(spark, "delivered")
+    lake.commit(spark.range(5), path)
+    ingest.overwrite_increments(io.stream_table(spark, str(tmp_path), "master", 1), path)
+    assert sorted(r.id for r in lake.read_version(spark, path).collect()) == list(range(30))
