@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodeworks.llm.components import marked
 from lodeworks.llm.words import Words, slices
 from lodeworks.session import work_path
 
@@ -139,7 +140,8 @@ def score_documents(
     texts = rows.select("text")
     wanted = labels.where(F.col(label_col) == 1).select(F.col(id_col).alias("id")).distinct()
     target_path, words_path, pairs_path = (work_path(spark, f"crossentropy-{x}") for x in ("target", "words", "pairs"))
-    rows.join(wanted, "id", "left_semi").select("text").write.parquet(target_path)
+    # The bit map keeps most texts that are not wanted from being moved for the join.
+    marked(rows, ["id"], wanted, "perhaps").where("perhaps").join(wanted, "id", "left_semi").select("text").write.parquet(target_path)
     target = spark.read.parquet(target_path)
 
     _counts(texts, target, lambda w: w.hashes()).write.parquet(words_path)
