@@ -2,7 +2,7 @@
 
 Lines are compared without case and outer blanks. A line's shingles are the ``chars`` characters from
 each word start (and from each character of scripts without spaces). Ten MinHash values, each the least
-under another hash of the shingles, form five bands of two. In every band, lines with equal keys are
+shingle hash under another XOR mask, form five bands of two. In every band, lines with equal keys are
 paired with the least and the greatest line of their bucket, so pairs grow with the lines and not with
 the squares of buckets; pairs whose exact Jaccard similarity over all shingles is ``similarity`` or more
 are linked, and union-find joins linked lines. Of each component, and of each set of equal lines, the
@@ -25,15 +25,15 @@ from pyspark.sql import functions as F
 from lodeworks.llm.components import components, marked, stored
 
 BANDS, ROWS = 5, 2
-#: One hash function per MinHash value: the shingle's hash hashed again with a seed.
-_SEEDS = range(1, BANDS * ROWS + 1)
+#: One mask per MinHash value, as signed 64-bit numbers spread evenly, so that they differ in their leading bits.
+_MASKS = [k * 0x9E3779B97F4A7C15 % 2**64 - 2**63 for k in range(1, BANDS * ROWS + 1)]
 
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
     """(id, pos, norm, digest, line): comparable lines with their place."""
     rows = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
     lines = rows.select(F.col(id_col).alias("id"), F.posexplode(F.split(F.col(text_col), "\n")).alias("pos", "line"))
-    norm = lines.select("id", "pos", F.lower(F.trim("line")).alias("norm")).where(F.length("norm") >= min_chars)
+    norm = lines.where(F.length(F.trim("line")) >= min_chars).select("id", "pos", F.lower(F.trim("line")).alias("norm"))
     return norm.withColumns({"digest": F.unhex(F.md5("norm")), "nid": F.xxhash64("norm")})
 
 
@@ -43,10 +43,10 @@ def shingle_hashes(norm: Column, chars: int) -> Column:
 
 
 def _band_keys(hashes: Column) -> Column:
-    def rehashed(seed: int):
-        return lambda h: F.xxhash64(h, F.lit(seed))
+    def masked(mask: int):
+        return lambda h: h.bitwiseXOR(F.lit(mask))
 
-    least = [F.array_min(F.transform(hashes, rehashed(seed))) for seed in _SEEDS]
+    least = [F.array_min(F.transform(hashes, masked(m))) for m in _MASKS]
     return F.array(*(F.xxhash64(F.lit(b), *least[b * ROWS : (b + 1) * ROWS]) for b in range(BANDS)))
 
 
@@ -60,8 +60,8 @@ def repeated_lines(
 ) -> DataFrame:
     """(id, pos, keeper): each line to be removed and the place of the line that stays for it."""
     lines = lines_of(docs, id_col, text_col, min_chars)
-    hashed = lines.select("nid", shingle_hashes(F.col("norm"), chars).alias("h")).where(F.size("h") > 0)
-    keyed = stored(hashed.select("nid", _band_keys(F.col("h")).alias("keys")), "line-bands")
+    hashed = lines.select("id", "pos", "digest", "nid", shingle_hashes(F.col("norm"), chars).alias("h"))
+    keyed = stored(hashed.select("id", "pos", "digest", "nid", F.when(F.size("h") > 0, _band_keys(F.col("h"))).alias("keys")), "line-bands")
 
     rows = keyed.select("nid", F.explode("keys").alias("key"))
     buckets = stored(rows.groupBy("key").agg(F.min("nid").alias("low"), F.max("nid").alias("high")).where("low <> high"), "line-buckets")
@@ -78,7 +78,7 @@ def repeated_lines(
     linked = both.where(common >= similarity * (F.size("ha") + F.size("hb") - common)).select("a", "b")
     roots = components(linked, "line-components")
 
-    places = lines.select("id", "pos", "digest")
+    places = keyed.select("id", "pos", "digest")
     rooted = places.join(roots.toDF("digest", "root"), "digest", "left").select("id", "pos", F.coalesce("root", "digest").alias("root"))
     rooted = stored(rooted, "line-places")
     keepers = stored(
