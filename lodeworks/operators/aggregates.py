@@ -73,6 +73,6 @@ def truncated(df: DataFrame, order_by: list, max_rows: int = 100) -> DataFrame:
 
 def refresh_days(existing: DataFrame, facts: DataFrame, changed_days: DataFrame, day: str, aggregate) -> DataFrame:
     """Recompute only the days that changed and keep the other rows as they are."""
-    days = F.broadcast(changed_days.select(day).distinct())  # at most one row per calendar day
+    days = changed_days.select(day).distinct()  # at most one row per calendar day
     fresh = aggregate(facts.join(days, day, "left_semi"))
     return existing.join(days, day, "left_anti").unionByName(fresh)

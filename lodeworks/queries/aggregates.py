@@ -458,7 +458,7 @@ def agg_sensor_types(t):
 )
 def agg_incremental(t):
     """A stale daily table, some days changed: the refreshed table equals a full rebuild."""
-    facts = t.orders.select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), "o_orderstatus", "o_totalprice")
+    facts = t.orders.select(F.col("o_orderdate").cast("date").alias("day"), "o_orderstatus", "o_totalprice")
 
     def daily(df):
         return df.groupBy("day").agg(F.count(F.lit(1)).alias("orders"), exact_sum("o_totalprice").alias("amount"))
@@ -466,4 +466,5 @@ def agg_incremental(t):
     path = work_path(t.spark, "daily")
     lake.commit(daily(facts.where("o_orderstatus != 'P'")), path)
     stale = lake.read_version(t.spark, path)
-    return agg.refresh_days(stale, facts, facts.where("o_orderstatus = 'P'"), "day", daily)
+    fresh = agg.refresh_days(stale, facts, facts.where("o_orderstatus = 'P'"), "day", daily)
+    return fresh.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
