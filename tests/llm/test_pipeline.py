@@ -2,10 +2,10 @@
 
 from pathlib import Path
 
+import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 
-corpus_pipeline = pytest.importorskip("corpus_pipeline")
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(DATA).exists(), reason="no test data")
 
