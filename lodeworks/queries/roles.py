@@ -135,24 +135,21 @@ ROW_ORDER = {
 }
 
 
-_SCHEMAS: dict = {}
-
-
 class Tables:
     """Given tables and their roles, read lazily; columns that a query does not use are never read."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+        self.spark, self.sf_dir, self._schemas = spark, sf_dir, {}
 
     def path(self, name: str) -> str:
         return f"{self.sf_dir}/{name}.parquet"
 
     def given(self, name: str) -> DataFrame:
-        # The schema of a given table is fixed; inferring it once spares a job per read.
+        # Inferred once for each run of a query, which may read a table several times.
         path = self.path(name)
-        if path not in _SCHEMAS:
-            _SCHEMAS[path] = self.spark.read.parquet(path).schema
-        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
+        if path not in self._schemas:
+            self._schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(self._schemas[path]).parquet(path)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in GIVEN:
