@@ -1,7 +1,8 @@
 """Keep one line of each group of near-equal lines, in DataFrame operations only.
 
 Lines are compared without case and outer blanks. A line's shingles are the ``chars`` characters from
-each word start (and from each character of scripts without spaces). Ten MinHash values, each the least
+each word start, from each character of scripts without spaces, and from every place inside a long word
+with that many characters of the word left, so that every character is read. Ten MinHash values, each the least
 shingle hash under another XOR mask, form five bands of two. In every band, lines with equal keys are
 paired with the least and the greatest line of their bucket, so pairs grow with the lines and not with
 the squares of buckets; pairs whose exact Jaccard similarity over all shingles is ``similarity`` or more
@@ -38,7 +39,7 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> Dat
 
 
 def shingle_hashes(norm: Column, chars: int) -> Column:
-    pattern = rf"(?s)(?:^|\s|(?=[⺀-퟿]))(?=(\S.{{0,{chars - 1}}}))"
+    pattern = rf"(?s)(?:^|\s|(?=[⺀-퟿])|(?=\S{{{chars}}}))(?=(\S.{{0,{chars - 1}}}))"
     return F.transform(F.regexp_extract_all(norm, F.lit(pattern), F.lit(1)), lambda s: F.xxhash64(s))
 
 

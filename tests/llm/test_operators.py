@@ -306,6 +306,20 @@ def test_op7_keeps_one_line_of_each_group(spark, none):
     assert line_dedup.dedup_lines(none).count() == 0
 
 
+def _survivors(spark, lines):
+    docs = spark.createDataFrame([(k, x) for k, x in enumerate(lines)], "doc_id bigint, text string")
+    return {r.doc_id for r in line_dedup.dedup_lines(docs).where("n_removed = 0").collect()}
+
+
+def test_op7_reads_every_character(spark):
+    lines = ["https://www.python.org/downloads", "https://www.wikipedia.org/wiki/Cat", "donaudampfschifffahrtsgesellschaft", "donaudampflokomotivenfabrikarbeiter"]
+    lines += ["transaction-2024-000017 transaction-2024-000018", "transaction-1999-555555 transaction-2001-777777"]
+    lines += ["ภาษาไทยเป็นภาษาที่มีระดับเสียงของคำ", "ภาษาไทยเป็นของขวัญจากบรรพบุรุษเรา", "😀" * 30 + "a", "😀" * 30 + "bcdefghijklmnop"]
+    assert _survivors(spark, lines) == set(range(len(lines)))
+    long = hashlib.sha256(b"7").hexdigest() + prose(1, 30).replace(" ", "")
+    assert _survivors(spark, [long, long[:-1] + "_", long + "_", "_" + long]) == {0}
+
+
 def test_op7_runs_no_python(docs):
     plan = line_dedup.dedup_lines(docs.select("doc_id", "text"))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
