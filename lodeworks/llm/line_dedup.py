@@ -4,13 +4,13 @@ Lines are compared without case and outer blanks. A line's shingles are the ``ch
 each word start, from each character of scripts without spaces, and from every place inside a long word
 with that many characters of the word left, so that every character is read. Ten MinHash values, each the least
 shingle hash under another XOR mask, form five bands of two. In every band, lines with equal keys are
-paired with the least and the greatest line of their bucket, so pairs grow with the lines and not with
-the squares of buckets; pairs whose exact Jaccard similarity over all shingles is ``similarity`` or more
-are linked, and union-find joins linked lines. Of each component, and of each set of equal lines, the
-first occurrence by (id, line number) stays.
+paired with the least and the greatest line of their bucket; pairs whose exact Jaccard similarity over
+all shingles is ``similarity`` or more are linked, and union-find joins linked lines. Then the other lines
+of each bucket are paired in full, but for pairs that are joined already. So buckets of near copies stay
+linear; buckets of unlike lines grow with their square, in units of two blocks of about ``BLOCK`` lines.
+Of each component, and of each set of equal lines, the first occurrence by (id, line number) stays.
 
-Two lines of 0.8 share a bucket with probability 0.994. In a bucket, two lines that are both unlike its
-least and its greatest are compared only if another bucket makes one of them its end.
+Two lines of 0.8 share a bucket with probability 0.994; lines that share one are joined if they are near.
 
 Lines under ``min_chars`` characters stay: short lines repeat for good reasons. Null and empty texts are
 kept as they are. Rows that share an id are one document: their lines of equal number and content are
@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from lodeworks.llm.components import components, marked, stored
 
 BANDS, ROWS = 5, 2
+#: About how many lines of a bucket are paired with as many others in one unit.
+BLOCK = 1000
 #: One mask per MinHash value, as signed 64-bit numbers spread evenly, so that they differ in their leading bits.
 _MASKS = [k * 0x9E3779B97F4A7C15 % 2**64 - 2**63 for k in range(1, BANDS * ROWS + 1)]
 
@@ -51,6 +53,34 @@ def _band_keys(hashes: Column) -> Column:
     return F.array(*(F.xxhash64(F.lit(b), *least[b * ROWS : (b + 1) * ROWS]) for b in range(BANDS)))
 
 
+def _links(pairs: DataFrame, lines: DataFrame, chars: int, similarity: float) -> DataFrame:
+    """(x, y, a, b): the pairs (x, y) of nids that are near enough, with their digests."""
+    # The shingles of paired lines only; the bit map keeps most others from being moved.
+    wanted = pairs.select(F.explode(F.array("x", "y")).alias("nid")).distinct()
+    near = marked(lines.select("nid", "digest", "norm"), ["nid"], wanted, "near").where("near")
+    texts = near.groupBy("digest", "nid").agg(F.first("norm").alias("norm")).join(wanted, "nid", "left_semi")
+    sets = stored(texts.select("nid", "digest", F.array_distinct(shingle_hashes(F.col("norm"), chars)).alias("h")), "line-shingles")
+    both = pairs.join(sets.toDF("x", "a", "ha"), "x").join(sets.toDF("y", "b", "hb"), "y")
+    common = F.size(F.array_intersect("ha", "hb"))
+    return both.where(common >= similarity * (F.size("ha") + F.size("hb") - common)).select("x", "y", "a", "b")
+
+
+def _inner_pairs(rows: DataFrame, buckets: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """(x, y): every two lines of a bucket, neither an end of it, that are not joined yet."""
+    inner = rows.join(buckets, "key").where("nid <> low AND nid <> high").select("key", "nid", "size").distinct()
+    rooted = stored(inner.join(roots, "nid", "left").withColumn("root", F.coalesce("root", "nid")), "line-inner")
+    counts = rooted.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("r0"), F.max("root").alias("r1"))
+    counts = counts.where("r0 <> r1").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    cut = rooted.join(counts, "key").withColumn("block", F.pmod(F.hash("nid"), F.col("blocks")))
+    line = F.struct("nid", "root", "size")
+    left = cut.select("key", F.col("block").alias("u"), F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("v"), line.alias("l"))
+    right = cut.select("key", F.explode(F.sequence(F.lit(0), F.col("block"))).alias("u"), F.col("block").alias("v"), line.alias("r"))
+    met = left.join(right, ["key", "u", "v"]).where("l.root <> r.root AND (u < v OR l.nid < r.nid)")
+    # Sets whose sizes are too far apart are not near.
+    met = met.where(F.least("l.size", "r.size") >= similarity * F.greatest("l.size", "r.size"))
+    return met.select(F.least("l.nid", "r.nid").alias("x"), F.greatest("l.nid", "r.nid").alias("y")).distinct()
+
+
 def repeated_lines(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -62,22 +92,22 @@ def repeated_lines(
     """(id, pos, keeper): each line to be removed and the place of the line that stays for it."""
     lines = lines_of(docs, id_col, text_col, min_chars)
     hashed = lines.select("id", "pos", "digest", "nid", shingle_hashes(F.col("norm"), chars).alias("h"))
-    keyed = stored(hashed.select("id", "pos", "digest", "nid", F.when(F.size("h") > 0, _band_keys(F.col("h"))).alias("keys")), "line-bands")
-
-    rows = keyed.select("nid", F.explode("keys").alias("key"))
-    buckets = stored(rows.groupBy("key").agg(F.min("nid").alias("low"), F.max("nid").alias("high")).where("low <> high"), "line-buckets")
-    ends = rows.join(buckets, "key").select("nid", F.explode(F.array("low", "high")).alias("end")).where("nid <> end")
-    pairs = stored(ends.select(F.least("nid", "end").alias("x"), F.greatest("nid", "end").alias("y")).distinct(), "line-pairs")
-
-    # The shingles of paired lines only; the bit map keeps most others from being moved.
-    wanted = pairs.select(F.explode(F.array("x", "y")).alias("nid")).distinct()
-    near = marked(lines.select("nid", "digest", "norm"), ["nid"], wanted, "near").where("near")
-    texts = near.groupBy("digest", "nid").agg(F.first("norm").alias("norm")).join(wanted, "nid", "left_semi")
-    sets = stored(texts.select("nid", "digest", F.array_distinct(shingle_hashes(F.col("norm"), chars)).alias("h")), "line-shingles")
-    both = pairs.join(sets.toDF("x", "a", "ha"), "x").join(sets.toDF("y", "b", "hb"), "y")
-    common = F.size(F.array_intersect("ha", "hb"))
-    linked = both.where(common >= similarity * (F.size("ha") + F.size("hb") - common)).select("a", "b")
-    roots = components(linked, "line-components")
+    keys = F.when(F.size("h") > 0, _band_keys(F.col("h"))).alias("keys")
+    keyed = stored(hashed.select("id", "pos", "digest", "nid", F.size(F.array_distinct("h")).alias("size"), keys), "line-bands")
+
+    rows = keyed.select("nid", "size", F.explode("keys").alias("key"))
+    ends = rows.groupBy("key").agg(F.min("nid").alias("low"), F.max("nid").alias("high"), F.count(F.lit(1)).alias("n"))
+    buckets = stored(ends.where("low <> high"), "line-buckets")
+    outer = rows.join(buckets, "key").select("nid", F.explode(F.array("low", "high")).alias("end")).where("nid <> end")
+    pairs = stored(outer.select(F.least("nid", "end").alias("x"), F.greatest("nid", "end").alias("y")).distinct(), "line-pairs")
+    linked = stored(_links(pairs, lines, chars, similarity), "line-links")
+    joined = components(linked.select(F.col("x").alias("a"), F.col("y").alias("b")), "line-ends").toDF("nid", "root")
+
+    # Two lines besides the ends need a bucket of four rows.
+    inner = stored(_inner_pairs(rows, buckets.where("n > 3").drop("n"), joined, similarity), "line-inner-pairs")
+    if not inner.isEmpty():
+        linked = stored(linked.unionByName(_links(inner, lines, chars, similarity)), "line-links")
+    roots = components(linked.select("a", "b"), "line-components")
 
     places = keyed.select("id", "pos", "digest")
     rooted = places.join(roots.toDF("digest", "root"), "digest", "left").select("id", "pos", F.coalesce("root", "digest").alias("root"))

@@ -320,6 +320,33 @@ def test_op7_reads_every_character(spark):
     assert _survivors(spark, [long, long[:-1] + "_", long + "_", "_" + long]) == {0}
 
 
+def test_op7_compares_all_pairs_of_a_bucket(spark):
+    """Template lines that are unlike each other, in near pairs: shared buckets whose ends are random."""
+    template, lines = prose(1, 36), []
+    for k in range(150):
+        line = template + " " + prose(5000 + k, 15)
+        lines += [line, line[:-12] + prose(9000 + k, 3)[:12]]
+
+    def shingles(x):
+        return {" ".join(w[k : k + 2])[:9] for w in [x.split()] for k in range(len(w))}  # words of four letters
+
+    def similarity(x, y):
+        return len(shingles(x) & shingles(y)) / len(shingles(x) | shingles(y))
+
+    assert all(similarity(lines[k], lines[k + 1]) >= 0.8 for k in range(0, 300, 2))
+    assert all(similarity(lines[0], lines[k]) < 0.8 for k in range(2, 300))
+    gone = set(range(300)) - _survivors(spark, lines)
+    assert gone <= set(range(1, 300, 2)) and len(gone) >= 147
+
+
+def test_op7_blocks_change_nothing(spark, monkeypatch):
+    template = prose(1, 36)
+    lines = [template + " " + prose(5000 + k // 2, 14) + f" {k % 2}" for k in range(80)]
+    want = _survivors(spark, lines)
+    monkeypatch.setattr(line_dedup, "BLOCK", 3)
+    assert _survivors(spark, lines) == want and len(want) < 45
+
+
 def test_op7_runs_no_python(docs):
     plan = line_dedup.dedup_lines(docs.select("doc_id", "text"))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
