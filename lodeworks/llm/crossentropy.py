@@ -2,13 +2,13 @@
 
 The target model counts the documents labelled 1, the background model all documents. Both share one
 vocabulary, one smoothing and one set of bigrams: p(w|v) = weight * c(v,w)/c(v) + (1-weight) * p(w),
-p(w) with ``alpha`` added to each count. Words outside the vocabulary fall into classes by length. A
-document's score is the mean over its words of the target model's loss minus the background model's;
-the lower, the more it reads like the target.
+p(w) with ``alpha`` added to each count. A document's score is the mean over its words of the target
+model's loss minus the background model's; the lower, the more it reads like the target.
 
-Counts cover every word of every document. The vocabulary is every word counted at least as often as
-the ``vocabulary``-th one, and bigrams likewise, so what is broadcast is bounded by these parameters.
-Ties at the limit are left out together. Words are known by 64-bit hashes.
+Every word and every bigram of every document counts, and all counts stay in written tables. Each
+distinct bigram gets its two losses there, and documents take them by a join with their own bigrams,
+summed for each document first. The ``bigrams`` most frequent ones are broadcast and summed on the spot,
+which only spares moving rows. Words and bigrams are known by 64-bit hashes.
 
 A null or empty text has no words and null scores. A row with a null id takes part in the background
 and is scored. An id labelled both ways counts as target; repeated rows count each time. Without labels
@@ -17,6 +17,7 @@ the target model is uniform. Other input columns are ignored.
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,54 +25,44 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodeworks.llm.components import marked
-from lodeworks.llm.words import Words, slices
-from lodeworks.session import work_path
+from lodeworks.llm.components import marked, stored
+from lodeworks.llm.words import Words, mix, slices
 
-#: Classes of unknown words, by length in bytes: 1-2, 3-4, ... and longer ones together.
+#: Kinds of words that no text holds, in the smoothing.
 CLASSES = 10
 FLUSH = 2_000_000
+#: Stands for the start of a text, before its first word.
+START = np.uint64(0x5851F42D4C957F2D)
 
 
-class Vocabulary:
-    """Ids: 0 .. n-1 for known words by hash, then the classes, then the start of a text."""
+def _pairs(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bigram, word before and word, as hashes, for each word; the start stands before a text's first."""
+    words = w.hashes()
+    before = np.empty_like(words)
+    before[1:] = words[:-1]
+    before[w.first[:-1][w.counts > 0]] = START
+    return mix(mix(before) + words), before, words
 
-    def __init__(self, hashes: np.ndarray):
-        self.hashes = np.sort(hashes)
-        self.size = len(hashes) + CLASSES
-        self.start = self.size
 
-    def ids(self, w: Words) -> np.ndarray:
-        hashes = w.hashes()
-        out = len(self.hashes) + np.minimum((w.end - w.start - 1) // 2, CLASSES - 1)
-        if len(self.hashes):
-            at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-            known = self.hashes[at] == hashes
-            out[known] = at[known]
-        return out
+def _word_keys(w: Words) -> tuple[np.ndarray]:
+    """Words, and the start once for each text that has any."""
+    return (np.concatenate([w.hashes(), np.full(int((w.counts > 0).sum()), START)]),)
 
-    def pairs(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
-        """Ids, and the id before each (the start at a text's first word)."""
-        ids = self.ids(w)
-        before = np.empty_like(ids)
-        before[1:] = ids[:-1]
-        before[w.first[:-1][w.counts > 0]] = self.start
-        return ids, before
 
-
-def _sums(batches: Iterator[pa.RecordBatch], keys) -> Iterator[pa.RecordBatch]:
-    """(key, n): keys(words) counted within the task as far as memory allows."""
+def _sums(batches: Iterator[pa.RecordBatch], keys, names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Different keys(words), whose first column tells them apart, counted within the task as far as memory allows."""
 
     def packed(held: list) -> pa.RecordBatch:
-        key, n = np.unique(np.concatenate(held), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n, pa.int64())], ["key", "n"])
+        columns = [np.concatenate(c) for c in zip(*held, strict=True)]
+        _, at, n = np.unique(columns[0], return_index=True, return_counts=True)
+        return pa.RecordBatch.from_arrays([*(pa.array(c[at].view(np.int64)) for c in columns), pa.array(n, pa.int64())], [*names, "n"])
 
     held, size = [], 0
     for batch in batches:
         for _, _, w in slices(batch.column("text")):
             found = keys(w)
             held.append(found)
-            size += len(found)
+            size += len(found[0])
             if size >= FLUSH:
                 yield packed(held)
                 held, size = [], 0
@@ -79,13 +70,15 @@ def _sums(batches: Iterator[pa.RecordBatch], keys) -> Iterator[pa.RecordBatch]:
         yield packed(held)
 
 
-def _counts(texts: DataFrame, target: DataFrame, keys) -> DataFrame:
-    """(key, all, target): occurrences over all texts and over the target's."""
-    count = lambda df: df.mapInArrow(lambda b: _sums(b, keys), "key long, n long")
-    both = count(texts).select("key", F.col("n").alias("a"), F.lit(0).cast("long").alias("t")).unionByName(
-        count(target).select("key", F.lit(0).cast("long").alias("a"), F.col("n").alias("t"))
+def _counts(texts: DataFrame, target: DataFrame, keys, names: list[str]) -> DataFrame:
+    """(names, all, target): occurrences over all texts and over the target's."""
+    schema = ", ".join(f"{c} long" for c in [*names, "n"])
+    count = lambda df: df.mapInArrow(lambda b: _sums(b, keys, names), schema)
+    zero = F.lit(0).cast("long")
+    both = count(texts).select(*names, F.col("n").alias("a"), zero.alias("t")).unionByName(
+        count(target).select(*names, zero.alias("a"), F.col("n").alias("t"))
     )
-    return both.groupBy("key").agg(F.sum("a").alias("all"), F.sum("t").alias("target"))
+    return both.groupBy(*names).agg(F.sum("a").alias("all"), F.sum("t").alias("target"))
 
 
 def _most_frequent(counts: DataFrame, limit: int) -> DataFrame:
@@ -100,36 +93,12 @@ def _most_frequent(counts: DataFrame, limit: int) -> DataFrame:
     return counts.where(F.lit(False) if least is None else F.col("all") >= least)
 
 
-class Bigrams:
-    def __init__(self, vocabulary: Vocabulary, words: np.ndarray, keys: np.ndarray, counts: np.ndarray, weight: float, alpha: float):
-        """words: (ids + start) x 2 counts; keys sorted, counts x 2. Column 0 is the background."""
-        self.vocabulary, self.keys = vocabulary, keys
-        total = words[:-1].sum(axis=0)
-        plain = (words[:-1] + alpha) / (total + alpha * vocabulary.size)
-        context = np.maximum(words[keys // (vocabulary.size + 1)], 1) if len(keys) else np.ones((0, 2))
-        self.plain = ((1 - weight) * plain).astype(np.float64)
-        self.joint = (weight * counts / context).astype(np.float64)
-
-    def losses(self, w: Words) -> np.ndarray:
-        """(texts x 2) summed losses: background, target."""
-        ids, before = self.vocabulary.pairs(w)
-        p = self.plain[ids]
-        if len(self.keys):
-            key = before * (self.vocabulary.size + 1) + ids
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            hit = self.keys[at] == key
-            p[hit] += self.joint[at[hit]]
-        loss = -np.log(p)
-        return np.column_stack([np.bincount(w.row, loss[:, k], w.rows) for k in (0, 1)])
-
-
 def score_documents(
     docs: DataFrame,
     labels: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "quality",
-    vocabulary: int = 50_000,
     bigrams: int = 400_000,
     weight: float = 0.7,
     alpha: float = 0.5,
@@ -139,43 +108,69 @@ def score_documents(
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     texts = rows.select("text")
     wanted = labels.where(F.col(label_col) == 1).select(F.col(id_col).alias("id")).distinct()
-    target_path, words_path, pairs_path = (work_path(spark, f"crossentropy-{x}") for x in ("target", "words", "pairs"))
     # The bit map keeps most texts that are not wanted from being moved for the join.
-    marked(rows, ["id"], wanted, "perhaps").where("perhaps").join(wanted, "id", "left_semi").select("text").write.parquet(target_path)
-    target = spark.read.parquet(target_path)
-
-    _counts(texts, target, lambda w: w.hashes()).write.parquet(words_path)
-    chosen = _most_frequent(spark.read.parquet(words_path), vocabulary).select("key").toArrow()
-    shared = spark.sparkContext.broadcast(Vocabulary(np.asarray(chosen.column("key"), np.int64).view(np.uint64)))
-    size = shared.value.size
-
-    def pair_keys(w: Words) -> np.ndarray:
-        ids, before = shared.value.pairs(w)
-        # Single counts ride along below zero; the start of a text counts as a context.
-        starts = np.full(int((w.counts > 0).sum()), -1 - size)
-        return np.concatenate([before * (size + 1) + ids, -1 - ids, starts])
-
-    _counts(texts, target, pair_keys).write.parquet(pairs_path)
-    pairs = spark.read.parquet(pairs_path)
-    single = pairs.where("key < 0").toArrow()  # at most vocabulary + CLASSES + 1 rows
-    words = np.zeros((size + 1, 2))
-    words[-1 - np.asarray(single.column("key"))] = np.column_stack([single.column("all"), single.column("target")])
-    kept = _most_frequent(pairs.where("key >= 0"), bigrams).toArrow().sort_by("key")
-    counts = np.column_stack([kept.column("all"), kept.column("target")]).astype(float).reshape(-1, 2)
-    model = spark.sparkContext.broadcast(Bigrams(shared.value, words, np.asarray(kept.column("key"), np.int64), counts, weight, alpha))
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    perhaps = marked(rows, ["id"], wanted, "perhaps").where("perhaps")
+    target = stored(perhaps.join(wanted, "id", "left_semi").select("text"), "crossentropy-target")
+
+    words = stored(_counts(texts, target, _word_keys, ["word"]), "crossentropy-words")
+    start = int(START.view(np.int64))
+    total = words.where(F.col("word") != start).agg(F.count(F.lit(1)).alias("n"), F.sum("all").alias("all"), F.sum("target").alias("target")).first()
+    size = total["n"] + CLASSES
+    pairs = stored(_counts(texts, target, _pairs, ["gram", "before", "word"]), "crossentropy-pairs")
+    contexts = words.select(F.col("word").alias("before"), F.col("all").alias("all_before"), F.col("target").alias("target_before"))
+    singles = words.select("word", F.col("all").alias("all_word"), F.col("target").alias("target_word"))
+
+    def loss(which: str):
+        plain = (F.col(f"{which}_word") + alpha) / ((total[which] or 0) + alpha * size)
+        return -F.log(weight * F.col(which) / F.greatest(F.col(f"{which}_before"), F.lit(1)) + (1 - weight) * plain)
+
+    model = pairs.join(contexts, "before").join(singles, "word").select("gram", "all", loss("all").alias("background"), loss("target").alias("target"))
+    model = stored(model, "crossentropy-model")
+    head = _most_frequent(model, bigrams).select("gram", "background", "target").toArrow()
+    order = np.argsort(np.asarray(head.column("gram"), np.int64).view(np.uint64))
+    shared = spark.sparkContext.broadcast(
+        (
+            np.asarray(head.column("gram"), np.int64).view(np.uint64)[order],
+            np.column_stack([head.column("background"), head.column("target")]).astype(float).reshape(-1, 2)[order],
+        )
+    )
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for each text, with its losses over the head, and one for each other bigram of it."""
+        grams, losses = shared.value
+        row_id = secrets.randbits(63) - 2**62  # the table is written once, so both kinds of rows agree
         for batch in batches:
             for at, stop, w in slices(batch.column("text")):
-                loss = model.value.losses(w) / np.maximum(w.counts, 1)[:, None]
-                none = w.counts == 0
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("id").slice(at, stop - at),
-                        pa.array(w.counts, pa.int64()),
-                        *(pa.array(v, mask=none) for v in (loss[:, 1], loss[:, 0], loss[:, 1] - loss[:, 0])),
-                    ],
-                    ["id", "n_tokens", "ce_target", "ce_background", "score"],
-                )
-
-    return rows.mapInArrow(score, f"id {kind}, n_tokens long, ce_target double, ce_background double, score double").withColumnRenamed("id", id_col)
+                gram = _pairs(w)[0]
+                hit = np.zeros(len(gram), bool)
+                known = np.zeros((len(gram), 2))
+                if len(grams):
+                    near = np.minimum(np.searchsorted(grams, gram), len(grams) - 1)
+                    hit = grams[near] == gram
+                    known[hit] = losses[near[hit]]
+                sums = [np.bincount(w.row, known[:, k], w.rows).astype(float) for k in (0, 1)]  # whole numbers where there are no words
+                ids = np.arange(w.rows) + row_id
+                row_id += w.rows
+                names = ["row_id", "id", "n_tokens", "background", "target", "gram", "n"]
+                none = pa.nulls(w.rows, pa.int64())
+                part = batch.column("id").slice(at, stop - at)
+                yield pa.RecordBatch.from_arrays([pa.array(ids), part, pa.array(w.counts, pa.int64()), *map(pa.array, sums), none, none], names)
+                row, gram = w.row[~hit], gram[~hit]
+                turn = np.lexsort((gram, row))
+                row, gram = row[turn], gram[turn]
+                new = np.ones(len(row), bool)
+                new[1:] = (row[1:] != row[:-1]) | (gram[1:] != gram[:-1])
+                first = np.flatnonzero(new)
+                n = np.diff(np.append(first, len(row)))
+                null = [pa.nulls(len(first), t) for t in (part.type, pa.int64(), pa.float64(), pa.float64())]
+                yield pa.RecordBatch.from_arrays([pa.array(ids[row[first]]), *null, pa.array(gram[first].view(np.int64)), pa.array(n, pa.int64())], names)
+
+    schema = f"row_id long, id {kind}, n_tokens long, background double, target double, gram long, n long"
+    found = stored(rows.mapInArrow(look_up, schema), "crossentropy-rows")
+    tail = found.where("gram IS NOT NULL").select("row_id", "gram", "n").join(model.drop("all"), "gram")
+    tail = tail.groupBy("row_id").agg(F.sum(F.col("n") * F.col("background")).alias("b"), F.sum(F.col("n") * F.col("target")).alias("t"))
+    scored = found.where("gram IS NULL").join(tail, "row_id", "left")
+    many = F.when(F.col("n_tokens") > 0, F.col("n_tokens"))
+    ce_target, ce_background = ((F.col(a) + F.coalesce(b, F.lit(0.0))) / many for a, b in (("target", "t"), ("background", "b")))
+    out = scored.select(F.col("id").alias(id_col), "n_tokens", ce_target.alias("ce_target"), ce_background.alias("ce_background"))
+    return out.withColumn("score", F.col("ce_target") - F.col("ce_background"))

@@ -272,6 +272,18 @@ def test_op6_losses_are_the_formula(spark, none):
     assert crossentropy.score_documents(docs, labels.where("false")).count() == len(rows)
 
 
+def test_op6_counts_every_word_and_bigram(spark):
+    """More words and bigrams than the head holds: the scores do not depend on it."""
+    docs = spark.createDataFrame([(k, prose(k, 60) + " the same end") for k in range(40)] + [(3, prose(3, 60)), (None, None)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, 1) for k in range(10)], "doc_id bigint, quality int")
+    key = lambda r: (r.doc_id or -1, r.n_tokens)
+    whole, part, none = (sorted(crossentropy.score_documents(docs, labels, bigrams=n).collect(), key=key) for n in (400_000, 50, 0))
+    assert len(whole) == len(part) == len(none) == 42
+    for x, *others in zip(whole, part, none, strict=True):
+        for y in others:
+            assert key(x) == key(y) and x.ce_target == pytest.approx(y.ce_target) and x.ce_background == pytest.approx(y.ce_background)
+
+
 def test_op7_keeps_one_line_of_each_group(spark, none):
     base = prose(1, 40)
     lines = {
