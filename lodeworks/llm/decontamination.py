@@ -15,8 +15,9 @@ Sizes fall into classes within ``ratio`` of each other; the first words of an it
 class has, are embedded, and the whole item is verified. Items are taken in blocks of about ``block``,
 which bounds what is broadcast; each block is one pass over the documents.
 
-Items under ``min_words`` words (or null) are not searched for: they would be found by chance. A null
-or empty text contains nothing. Repeated documents and items are reported once for each pair of ids.
+Items under ``min_words`` words are searched for word by word, without edits: by hashed runs of their own
+length. Each character of scripts without spaces is a word. Null items are not searched for, nor those
+without words. A null or empty text contains nothing. Repeated documents and items are reported once for each pair of ids.
 Rows with a null id are searched and reported under null. Other input columns are ignored.
 """
 
@@ -66,27 +67,36 @@ def best_match(item: list[int], text: list[int]) -> tuple[int, int]:
     return best, at
 
 
-def _runs(hashes: np.ndarray) -> np.ndarray:
-    """Hash of each run of three words; runs across two texts only make the filter let more pass."""
-    if len(hashes) < _RUN:
+def _runs(hashes: np.ndarray, size: int = _RUN) -> np.ndarray:
+    """Hash of each run of ``size`` words; runs across two texts only make the filter let more pass."""
+    if len(hashes) < size:
         return np.empty(0, np.uint64)
-    acc = hashes[: len(hashes) - _RUN + 1].copy()
-    for k in range(1, _RUN):
-        acc = mix(acc + hashes[k : len(hashes) - _RUN + 1 + k])
+    acc = hashes[: len(hashes) - size + 1].copy()
+    for k in range(1, size):
+        acc = mix(acc + hashes[k : len(hashes) - size + 1 + k])
     return acc
 
 
 class Index:
     """Hash tables over the embedded items of one block."""
 
-    def __init__(self, items: list[tuple[object, np.ndarray]], max_edit: float, ratio: float, walks: int, samples: int, places: int):
+    def __init__(self, items: list[tuple[object, np.ndarray]], max_edit: float, ratio: float, walks: int, samples: int, places: int, min_words: int):
         self.items, self.max_edit, self.walks, self.samples, self.places = items, max_edit, walks, samples, places
-        self.edits = np.asarray([int(max_edit * len(h)) for _, h in items], np.int64)
+        self.edits = np.asarray([int(max_edit * len(h)) if len(h) >= min_words else 0 for _, h in items], np.int64)
         self.words = [h.tolist() for _, h in items]
-        self.runs = np.unique(np.concatenate([_runs(h) for _, h in items])) if items else np.empty(0, np.uint64)
+        self.runs = np.unique(np.concatenate([np.empty(0, np.uint64), *(_runs(h) for _, h in items if len(h) >= min_words)]))
+        #: Short items by length: their hashed runs in order, and the items.
+        self.short: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for size in {len(h) for _, h in items if len(h) < min_words}:
+            members = np.asarray([k for k, (_, h) in enumerate(items) if len(h) == size])
+            keys = _runs(np.concatenate([items[k][1] for k in members]), size)[::size]
+            order = np.argsort(keys, kind="stable")
+            self.short[size] = keys[order], members[order]
         #: Members by size and by how many runs of the benchmark any window near them holds.
         self.classes: dict[tuple[int, int], list[int]] = {}
         for k, (_, h) in enumerate(items):
+            if len(h) < min_words:
+                continue
             size = min(max(int(ratio ** np.floor(np.log(len(h)) / np.log(ratio) + 1e-9)), 1), len(h))
             need = max(0, size - _RUN + 1 - _RUN * int(self.edits[k]))
             self.classes.setdefault((size, need), []).append(k)
@@ -125,18 +135,33 @@ class Index:
                 key = mix(key + embedded[j])
             yield key
 
+    def find_short(self, hashes: np.ndarray, row: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
+        """As ``find``, the first copy in each row of each short item."""
+        for size, (keys, members) in self.short.items():
+            runs = _runs(hashes, size)
+            low, high = np.searchsorted(keys, runs, "left"), np.searchsorted(keys, runs, "right")
+            begin = np.flatnonzero((high > low) & (row[: len(runs)] == row[size - 1 :][: len(runs)]))
+            seen = set()
+            for at in begin.tolist():
+                for k in members[low[at] : high[at]].tolist():
+                    r = int(row[at])
+                    if (r, k) not in seen and hashes[at : at + size].tolist() == self.words[k]:
+                        seen.add((r, k))
+                        yield r, k, 0, at - int(first[r]), at + size - int(first[r])
+
     def find(self, hashes: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
         """(row, item, edits, first word looked at, word behind the match) for the texts of a slice."""
         n = len(hashes)
         if not n or not self.items:
             return
+        row = np.repeat(np.arange(len(first) - 1), np.diff(first))
+        yield from self.find_short(hashes, row, first)
         found = np.zeros(n, bool)
         runs = _runs(hashes)
         if len(runs) and len(self.runs):
             near = np.minimum(np.searchsorted(self.runs, runs), len(self.runs) - 1)
             found[: len(runs)] = self.runs[near] == runs
         shared = np.concatenate(([0], np.cumsum(found)))
-        row = np.repeat(np.arange(len(first) - 1), np.diff(first))
         stop = first[1:][row]
         every = np.arange(n)
         pieces = []
@@ -211,8 +236,8 @@ def index_blocks(
         entries, names = [], mine.column("item").to_pylist()
         for at, stop, w in slices(mine.column("text").combine_chunks(), folded=True):
             hashes = w.hashes()
-            entries += [(names[at + r], hashes[w.first[r] : w.first[r + 1]]) for r in range(stop - at) if w.first[r + 1] - w.first[r] >= min_words]
-        out.append(benchmark.sparkSession.sparkContext.broadcast(Index(entries, max_edit, ratio, walks, samples, places)))
+            entries += [(names[at + r], hashes[w.first[r] : w.first[r + 1]]) for r in range(stop - at) if w.first[r + 1] > w.first[r]]
+        out.append(benchmark.sparkSession.sparkContext.broadcast(Index(entries, max_edit, ratio, walks, samples, places, min_words)))
     return out
 
 

@@ -105,7 +105,8 @@ def _hash_long(data: np.ndarray) -> np.uint64:
 def slices(texts: pa.Array, limit: int = SLICE_BYTES, folded: bool = False) -> Iterator[tuple[int, int, Words]]:
     """(first row, row behind the last, their words) for consecutive slices of whole texts.
 
-    ``folded`` leaves out punctuation and the case of ASCII letters.
+    ``folded`` leaves out punctuation and the case of ASCII letters, and takes each character of scripts
+    without spaces for a word.
     """
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
@@ -115,11 +116,22 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES, folded: bool = False) -> I
         stop = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1)
         stop = min(stop, len(texts))
         part, bounds = data[offsets[at] : offsets[stop]], offsets[at : stop + 1] - offsets[at]
-        yield at, stop, _split(_FOLD[part], bounds, _FOLDED_BLANK) if folded else _split(part, bounds, _BLANK)
+        yield at, stop, _split(_FOLD[part], bounds, _FOLDED_BLANK, _unspaced(part)) if folded else _split(part, bounds, _BLANK)
         at = stop
 
 
-def _split(data: np.ndarray, offsets: np.ndarray, blank: np.ndarray) -> Words:
+def _unspaced(data: np.ndarray) -> np.ndarray:
+    """First byte of, and byte behind, each character of scripts without spaces: Thai, Lao, Tibetan,
+    Myanmar, Khmer, kana and ideographs."""
+    lead = np.flatnonzero(data >= 0xE0)
+    a, b = data[lead], data[np.minimum(lead + 1, len(data) - 1)]
+    own = (a == 0xE0) & (b >= 0xB8) | (a == 0xE1) & ((b <= 0x81) | (b == 0x9E) | (b == 0x9F)) | (a == 0xE2) & (b >= 0xBA)
+    own |= (a >= 0xE3) & (a <= 0xE9) | (a == 0xEF) & ((b >= 0xA4) & (b <= 0xAB) | (b == 0xBD) | (b == 0xBE)) | (a == 0xF0) & (b >= 0xA0)
+    begin = lead[own]
+    return np.unique(np.concatenate([begin, begin + np.where(data[begin] >= 0xF0, 4, 3)]))
+
+
+def _split(data: np.ndarray, offsets: np.ndarray, blank: np.ndarray, more_cuts: np.ndarray | None = None) -> Words:
     inside = np.zeros(len(data) + 1, bool)
     inside[:-1] = ~blank[data]
     starts = inside.copy()
@@ -128,7 +140,7 @@ def _split(data: np.ndarray, offsets: np.ndarray, blank: np.ndarray) -> Words:
     ends[0] = False
     ends[1:] &= inside[:-1]
     # Texts stand back to back: a word ends where its text does, and the next one starts there.
-    cuts = offsets[1:-1]
+    cuts = offsets[1:-1] if more_cuts is None else np.concatenate([offsets[1:-1], more_cuts])
     cuts = cuts[(cuts > 0) & (cuts < len(data))]
     joined = cuts[inside[cuts] & inside[cuts - 1]]
     starts[joined] = True

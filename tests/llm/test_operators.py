@@ -215,6 +215,17 @@ def test_op4_finds_edited_items(spark, none):
     assert decontamination.find_items(given, bench.where("false")).count() == 0
 
 
+def test_op4_finds_short_items_and_scripts_without_spaces(spark):
+    chinese, thai = "中国最长的河流是长江全长六千三百公里", "ภาษาไทยเป็นภาษาที่มีระดับเสียง"
+    items = [(1, "Who wrote Faust?"), (2, chinese), (3, thai), (4, "漢字"), (5, "?!"), (6, "wrote Faust"), (7, "Who wrote Faust?")]
+    docs = [(1, prose(1, 30) + " who wrote: FAUST " + prose(2, 30)), (2, "问题" + chinese[:5] + "大" + chinese[6:] + "答案"), (3, "ก่อน" + thai + "หลัง")]
+    docs += [(4, "who wrote the faust"), (5, "古漢字典"), (6, "漢"), (7, "字"), (8, "wrote"), (9, "Faust"), (10, None)]
+    given, bench = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(x.doc_id, x.item_id, x.n_edits) for x in decontamination.find_items(given, bench).collect()}
+    assert got == {(1, 1, 0), (1, 7, 0), (1, 6, 0), (2, 2, 1), (3, 3, 0), (5, 4, 0)}
+    assert {x.doc_id for x in decontamination.drop_contaminated(given, bench).collect()} == {4, 6, 7, 8, 9, 10}
+
+
 def test_op5_hosts_rules_and_terms(spark):
     cases = {
         "https://A.Example.ORG/es/1?x": ("a.example.org", "/es/1", "example.org/es/", "block"),
