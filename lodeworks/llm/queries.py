@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeworks.llm import crossentropy, decontamination, jaccard_join, line_dedup, neighbours, pieces, pii, quality_rules, substrings, url_filter
+from lodeworks.llm import crossentropy, decontamination, jaccard_join, license_scan, line_dedup, neighbours, periodic_runs, pieces, pii, quality_rules, spellings, substrings, url_filter
 from lodeworks.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -101,3 +101,55 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_jaccard_join")
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op11_spellings")
+def op11_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spellings.variants(spellings.vocabulary(table(spark, sf_dir, "documents"), slip=31))
+
+
+def with_cycles(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): in one text of ten, by the crc32 of its id, a stretch of words takes the place of what follows it.
+
+    With h the crc32 and n words, a = h / 10 mod n, p = 1 + (n - a) / (3 + h / 10 mod 8): each word i >= a becomes word
+    a + (i - a) mod p.
+    """
+    h = F.crc32(F.col("doc_id").cast("string"))
+    chosen = docs.select("doc_id", "text", F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"))).alias("words"), F.floor(h / 10).alias("g"))
+    counted = chosen.select("*", F.size("words").alias("n")).select("*", F.expr("if(n > 0, int(g % n), 0)").alias("a"))
+    cut = counted.select("*", F.expr("1 + (n - a) div (3 + g % 8)").cast("int").alias("p"))
+    tail = F.expr("slice(flatten(array_repeat(slice(words, a + 1, p), int(ceil((n - a) / p)))), 1, n - a)")
+    return cut.select("doc_id", F.when(F.col("n") > 0, F.array_join(F.concat(F.expr("slice(words, 1, a)"), tail), " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(with_cycles(table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("strongest.start").alias("start"),
+        F.col("strongest.length").alias("length"),
+        F.col("strongest.period").alias("period"),
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query("op13_license_scan")
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+    named = F.array_sort(F.array_distinct(F.col("places.label")))
+    told = F.array_sort(F.array_union(F.col("places.label"), F.col("matches.label")))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min(F.col("places.start")).alias("first_word"),
+        F.array_max(F.col("places.start")).alias("last_word"),
+        F.array_join(named, ",").alias("base_labels"),
+        F.array_join(told, ",").alias("labels"),
+        F.greatest(F.coalesce(F.array_max(F.col("matches.share")), F.lit(0.0)), F.when(F.size("places") > 0, 0.5).otherwise(0.0)).alias("score"),
+    )

@@ -102,11 +102,11 @@ def _hash_long(data: np.ndarray) -> np.uint64:
     return np.uint64(total % 2**64)
 
 
-def slices(texts: pa.Array, limit: int = SLICE_BYTES, folded: bool = False) -> Iterator[tuple[int, int, Words]]:
+def slices(texts: pa.Array, limit: int = SLICE_BYTES, folded: bool = False, apart: bool = True) -> Iterator[tuple[int, int, Words]]:
     """(first row, row behind the last, their words) for consecutive slices of whole texts.
 
     ``folded`` leaves out punctuation and the case of ASCII letters, and takes each character of scripts
-    without spaces for a word.
+    without spaces for a word unless ``apart`` is false.
     """
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
@@ -116,7 +116,7 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES, folded: bool = False) -> I
         stop = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1)
         stop = min(stop, len(texts))
         part, bounds = data[offsets[at] : offsets[stop]], offsets[at : stop + 1] - offsets[at]
-        yield at, stop, _split(_FOLD[part], bounds, _FOLDED_BLANK, _unspaced(part)) if folded else _split(part, bounds, _BLANK)
+        yield at, stop, _split(_FOLD[part], bounds, _FOLDED_BLANK, _unspaced(part) if apart else None) if folded else _split(part, bounds, _BLANK)
         at = stop
 
 
