@@ -20,6 +20,17 @@ def half_up(value: ColumnLike, digits: int = 2) -> Column:
     return F.floor(_col(value) * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)
 
 
+def exact_parts(value: ColumnLike, scale: int = 6) -> tuple[Column, Column]:
+    """High and low bits of an exact sum, as two integer sums that can be added up further."""
+    units = F.floor(_col(value) * F.lit(float(10**scale)) + F.lit(0.5))
+    return F.sum(F.shiftright(units, 20)), F.sum(units.bitwiseAND(F.lit((1 << 20) - 1)))
+
+
+def exact_total(high: Column, low: Column, scale: int = 6) -> Column:
+    """The sum that the two parts stand for."""
+    return (high.cast("double") * F.lit(float(1 << 20)) + low.cast("double")) / F.lit(float(10**scale))
+
+
 def exact_sum(value: ColumnLike, scale: int = 2) -> Column:
     """Sum of numbers with ``scale`` decimals that does not depend on the order of partitions.
 
@@ -27,11 +38,7 @@ def exact_sum(value: ColumnLike, scale: int = 2) -> Column:
     that neither sum can overflow before some 10**12 rows meet in one group; primitive sums are
     several times faster than decimal ones.
     """
-    unit = float(10**scale)
-    units = F.floor(_col(value) * F.lit(unit) + F.lit(0.5))
-    high = F.sum(F.shiftright(units, 20)).cast("double")
-    low = F.sum(units.bitwiseAND(F.lit((1 << 20) - 1))).cast("double")
-    return (high * F.lit(float(1 << 20)) + low) / F.lit(unit)
+    return exact_total(*exact_parts(value, scale), scale)
 
 
 def exact_avg(value: ColumnLike, scale: int = 6) -> Column:

@@ -46,11 +46,25 @@ def dim_material(vbap: DataFrame) -> DataFrame:
     return keys.select("matnr", F.col("matnr").alias("mat_desc"), prefix_or("matnr", 4).alias("mat_type"))
 
 
-def dim_coal_type(samples: DataFrame, ranges: dict = ASH_RANGES) -> DataFrame:
-    """Coal types seen in the lab with their reference ash range."""
+def dim_coal_type(samples: DataFrame, ranges: dict = ASH_RANGES, labels: DataFrame | None = None) -> DataFrame:
+    """Coal types seen in the lab, with name, reference ash range and sulfur limit (percent).
+
+    ``labels`` is the caller's table (coal_type, coal_name, sulfur_limit_pct); of several rows for a type the first by name
+    and limit counts. A type that it lacks goes by its code and has no limit.
+    """
     types = not_null(samples.select("SAMPLE_TYPE"), ["SAMPLE_TYPE"]).distinct()
-    return with_ranges(types, ranges, "SAMPLE_TYPE").select(
-        F.col("SAMPLE_TYPE").alias("coal_type"), F.col("lo").alias("ash_min"), F.col("hi").alias("ash_max")
+    ranged = with_ranges(types, ranges, "SAMPLE_TYPE").withColumnRenamed("SAMPLE_TYPE", "coal_type")
+    if labels is None:
+        named = ranged.withColumns({"coal_name": F.col("coal_type"), "sulfur_limit_pct": F.lit(None).cast("double")})
+    else:
+        order = ["coal_type", "coal_name", "sulfur_limit_pct"]
+        named = ranged.join(distinct_by(labels, ["coal_type"], order, order[1:]), "coal_type", "left")
+    return named.select(
+        "coal_type",
+        F.coalesce("coal_name", "coal_type").alias("coal_name"),
+        F.col("lo").alias("ash_min"),
+        F.col("hi").alias("ash_max"),
+        half_up(F.col("sulfur_limit_pct").cast("double"), 2).alias("sulfur_limit_pct"),
     )
 
 

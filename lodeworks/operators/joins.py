@@ -6,10 +6,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodeworks.functions import outside
+from lodeworks.session import work_path
 from lodeworks.sources.literal import literal_table
 
 #: Parts that a key's rows are dealt over when they meet a table with one row per key.
 SALTS = 16
+#: Parent keys that are broadcast at most: some tens of megabytes.
+BROADCAST_KEYS = 1_000_000
 
 
 def attach_all(big: DataFrame, *sides: tuple, how: str = "left") -> DataFrame:
@@ -27,20 +30,55 @@ def attach(big: DataFrame, small: DataFrame, on, how: str = "left") -> DataFrame
     return attach_all(big, (small, on), how=how)
 
 
-def flag_member(child: DataFrame, parent: DataFrame, key: str, flag: str, parent_key: str | None = None) -> DataFrame:
+_COUNTED = {"boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp", "timestamp_ntz", "string"}
+
+
+def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> tuple[list, bool]:
+    """Keys that hold at least a share of the rows, and whether NULL does; by one frequency sketch over the key
+    column. A sketch of 10,000 counters cannot miss a key of one percent. At most 1 / ``share`` keys come back."""
+    if df.schema[key].dataType.simpleString() not in _COUNTED:
+        return [], False
+    seen = df.agg(F.expr(f"approx_top_k(`{key}`, {round(1 / share)}, 10000)").alias("top"), F.count(F.lit(1)).alias("rows"), F.count(key).alias("known")).first()
+    least = max(1.0, share * seen.rows)
+    return sorted(x.item for x in seen.top or [] if x["count"] >= least and x.item is not None), seen.rows - seen.known >= least
+
+
+def _free(name: str, *frames: DataFrame) -> str:
+    """A column name that none of the tables has."""
+    while any(name in df.columns for df in frames):
+        name = f"_{name}"
+    return name
+
+
+def flag_member(child: DataFrame, parent: DataFrame, key: str, flag: str, parent_key: str | None = None, broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
     """Add a boolean column: does the key exist in the parent table? NULL gives false.
 
-    The parent side is one row per key. A small one is broadcast. Otherwise a sentinel or NULL key
-    may hold a large share of the child rows: these are dealt over ``SALTS`` parts by a hash of the
-    row, and the parent's one row is there for each. The salt also puts an exchange of its own over
-    both sides, so that adaptive execution can split what is still too large.
+    The parent's keys are written once and counted. Up to ``broadcast_keys`` of them are broadcast, and the child
+    rows stay where they are. More of them are joined by an exchange: there a sentinel or NULL key may hold a large
+    share of the child rows, so the rows of such keys, and only those, are dealt over ``SALTS`` parts by a hash of the
+    row, and the parent's one row is there for each. The salt also puts an exchange of its own over both sides, so
+    that adaptive execution can split what is still too large.
     """
-    known = parent.select(F.col(parent_key or key).alias(key)).where(F.col(key).isNotNull()).distinct()
-    known = known.select(key, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"), F.lit(True).alias("_hit"))
-    plain = [f.name for f in child.schema if "map<" not in f.dataType.simpleString() and f.dataType.simpleString() != "variant"]
-    salted = child.withColumn("_salt", F.pmod(F.xxhash64(*plain), F.lit(SALTS)).cast("int"))
-    joined = salted.join(known, [key, "_salt"], "left")
-    return joined.select(*child.columns, F.coalesce("_hit", F.lit(False)).alias(flag))
+    path = work_path(child.sparkSession, "parent-keys")
+    parent.select(F.col(parent_key or key).alias(key)).where(F.col(key).isNotNull()).distinct().write.parquet(path)
+    known = child.sparkSession.read.parquet(path)
+    salt, hit = _free("_salt", child, known), _free("_hit", child, known)
+    # A session that has turned broadcasting off means it.
+    allowed = not child.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").startswith("-")
+    few = allowed and known.count() <= broadcast_keys
+    hot, null_is_hot = ([], False) if few else hot_keys(child, key)
+    if few or not (hot or null_is_hot):
+        keys = known.withColumn(hit, F.lit(True))
+        joined = child.join(F.broadcast(keys) if few else keys, key, "left")
+    else:
+        is_hot = F.col(key).isin(hot) if hot else F.lit(False)
+        parts = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+        keys = known.select(key, F.explode(parts).alias(salt), F.lit(True).alias(hit))
+        plain = [f.name for f in child.schema if "map<" not in f.dataType.simpleString() and f.dataType.simpleString() != "variant"]
+        dealt = is_hot | F.col(key).isNull() if null_is_hot else is_hot
+        row = F.pmod(F.xxhash64(*[f"`{c}`" for c in plain]), F.lit(SALTS)).cast("int")
+        joined = child.withColumn(salt, F.when(dealt, row).otherwise(F.lit(0))).join(keys, [key, salt], "left")
+    return joined.select(*[F.col(f"`{c}`") for c in child.columns], F.coalesce(hit, F.lit(False)).alias(flag))
 
 
 def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lodeworks.constants import DIRECT_TRANSFORMS, LAYER_ORDER, TRANSFORM_LABELS
 from lodeworks.session import work_path
+from lodeworks.sources.partitions import folders
 
 
 def node(platform: str, table: str) -> Column:
@@ -31,32 +32,46 @@ def downstream(edges: DataFrame, name: str) -> DataFrame:
     return edges.where(F.col("src") == name).select(F.col("dst").alias("node")).distinct().orderBy("node")
 
 
-def reach(edges: DataFrame, start: str, forward: bool = True) -> DataFrame:
+def reach(edges: DataFrame, start: str, forward: bool = True, buckets: int = 16) -> DataFrame:
     """All nodes reachable from ``start`` with the length of the longest path to them.
 
-    Ordering by that depth is a topological order. The edges are written once; each round holds the
-    distinct nodes at exactly that distance and is written too, so the plan stays short. The loop
-    counts levels, not rows, and ends with an empty level. A graph with a cycle has no topological
-    order: a level deeper than there are nodes proves one, and it is refused.
+    Ordering by that depth is a topological order. The edges are written once, filed by a hash of the node they
+    start from. A level is the distinct nodes at exactly one distance, written too; the next one reads the files
+    of its nodes' buckets only. The loop counts levels, not rows; what the driver sees of a level is the numbers of
+    its buckets, and none means the end. A graph with a cycle has no topological order: a level deeper than
+    there are nodes proves one, and it is refused.
     """
     spark = edges.sparkSession
     a, b = ("src", "dst") if forward else ("dst", "src")
     folder = work_path(spark, "reach")
-    edges.select(F.col(a).alias("node"), F.col(b).alias("next")).distinct().write.parquet(f"{folder}/edges")
-    hops = spark.read.parquet(f"{folder}/edges")
-    nodes = None
-
-    def written(level: DataFrame, depth: int) -> DataFrame:
-        level.select(F.col("next").alias("node")).distinct().write.parquet(f"{folder}/levels/depth={depth}")
-        return spark.read.schema("node string").parquet(f"{folder}/levels/depth={depth}")
-
-    depth, level = 1, written(hops.where(F.col("node") == start), 1)
-    while not level.isEmpty():
+    bucket = F.pmod(F.xxhash64("node"), F.lit(buckets)).cast("int").alias("bucket")
+    hops = edges.select(F.col(a).cast("string").alias("node"), F.col(b).cast("string").alias("next"))
+    hops.select("*", bucket).hint("rebalance", "bucket").write.partitionBy("bucket").parquet(f"{folder}/edges")
+    filed = set(folders(spark, f"{folder}/edges", "bucket"))
+
+    def written(found: DataFrame, depth: int) -> tuple[DataFrame, list[str]]:
+        path = f"{folder}/levels/depth={depth}"
+        found.select(F.col("next").alias("node")).distinct().select("node", bucket).write.parquet(path)
+        level = spark.read.schema("node string, bucket int").parquet(path)
+        return level, [str(r.bucket) for r in level.select("bucket").distinct().collect()]
+
+    def leaving(touched: list[str]) -> DataFrame:
+        reader = spark.read.schema("node string, next string, bucket int").option("basePath", f"{folder}/edges")
+        return reader.parquet(*[f"{folder}/edges/bucket={x}" for x in sorted(touched)])
+
+    at = str(spark.range(1).select(F.lit(start).alias("node")).select(bucket).first().bucket)
+    nodes, depth = None, 1
+    level, touched = written((leaving([at]) if at in filed else hops).where(F.col("node") == start), 1)
+    while touched:
         if depth >= 64:  # deep: see how deep it can be at all
             nodes = nodes or hops.select("node").union(hops.select("next")).distinct().count()
             if depth > nodes:
                 raise ValueError(f"no end after {depth} levels over {nodes} nodes: the graph has a cycle")
-        depth, level = depth + 1, written(hops.join(level, "node", "left_semi"), depth + 1)
+        known = filed.intersection(touched)
+        if not known:  # all of them are ends
+            break
+        depth += 1
+        level, touched = written(leaving(list(known)).join(level, "node", "left_semi"), depth)
     levels = spark.read.schema("node string, depth int").option("basePath", f"{folder}/levels").parquet(f"{folder}/levels")
     return levels.groupBy("node").agg(F.max("depth").alias("depth"))
 

@@ -44,6 +44,22 @@ def with_previous(
     ).drop("_rn", "_edge", "_bucket", *[f"_in_{n}" for n in carry])
 
 
+def glitches(events: DataFrame, device: str, state: str, order_by: list[str], changes: int = 3, within_seconds: int = 5, unit: str = "day") -> DataFrame:
+    """Events at which a device changes its state for the third (``changes``) time within a few seconds.
+
+    ``order_by`` is a total order of a device's events that starts with the time. Each look back at the change
+    before is a lag over time buckets, so a busy device is never in one task.
+    """
+    ts = order_by[0]
+    dated = events.where(F.col(ts).isNotNull())
+    moved = with_previous(dated, [device], order_by, {"_before": state}, unit=unit).where(F.col("_before") != F.col(state)).drop("_before")
+    moved = moved.withColumn("_t0", F.col(ts))
+    for k in range(1, changes):
+        moved = with_previous(moved, [device], order_by, {f"_t{k}": f"_t{k - 1}"}, unit=unit)
+    quick = _micros(F.col(ts)) - _micros(F.col(f"_t{changes - 1}")) <= within_seconds * 1_000_000
+    return moved.where(quick).drop(*[f"_t{k}" for k in range(changes)])
+
+
 def gap_steps(
     df: DataFrame, keys: list[str], ts: str, limit_seconds: int = 120, unit: str = "day"
 ) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lodeworks.constants import BETWEEN, GRADES_CHECKPOINT, LENGTH, NOT_NULL, QUALITY_RULES, UNIQUE
 from lodeworks.functions import half_up
-from lodeworks.operators.dedup import surplus
+from lodeworks.operators.dedup import digest, hashable, surplus
 from lodeworks.sources.literal import literal_table
 
 RESULT_COLUMNS = ["rule_no", "expectation", "column_name", "success", "unexpected_count", "unexpected_pct", "error"]
@@ -55,6 +55,18 @@ def _problem(rule: Rule, columns: list[str]) -> str | None:
     return f"no such column: {','.join(missing)}" if missing else None
 
 
+def _surplus_of_all(df: DataFrame, rules: list[tuple[int, Rule]]) -> DataFrame:
+    """Rows after the first of each key, for several key sets in one pass: each row is laid out once per
+    rule as a digest of its key. One row: ``_rows``, and ``_dup_<no>`` for each rule."""
+    sets = [F.struct(F.lit(no).alias("no"), *[h.alias(f"h{i}") for i, h in enumerate(digest(list(rule.columns)))]) for no, rule in rules]
+    counted = df.select(F.inline(F.array(*sets))).groupBy("no", "h0", "h1").agg(F.count(F.lit(1)).alias("n"))
+
+    def of(no: int, value: Column) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("no") == no, value)), F.lit(0)).cast("bigint")
+
+    return counted.agg(of(rules[0][0], F.col("n")).alias("_rows"), *[of(no, F.col("n") - 1).alias(f"_dup_{no}") for no, _ in rules])
+
+
 def evaluate(df: DataFrame, rules: list[Rule], ignore_nulls: bool = False) -> DataFrame:
     """One row per rule. A rule that cannot run is reported as failed and stops nothing."""
     row_rules, unique_rules, broken = [], [], []
@@ -79,9 +91,13 @@ def evaluate(df: DataFrame, rules: list[Rule], ignore_nulls: bool = False) -> Da
         )
         outcomes = ", ".join(outcome(no, rule, f"_bad_{no}", "_total") for no, rule in row_rules)
         parts.append(counts.selectExpr(f"inline(array({outcomes}))"))
-    for no, rule in unique_rules:
-        counted = surplus(df.select(*rule.columns), list(rule.columns))
-        parts.append(counted.selectExpr(f"inline(array({outcome(no, rule, 'dup', 'total')}))"))
+    if len(unique_rules) > 1 and all(hashable(df, rule.columns) for _, rule in unique_rules):
+        counted = _surplus_of_all(df, unique_rules)
+        parts.append(counted.selectExpr("inline(array(" + ", ".join(outcome(no, rule, f"_dup_{no}", "_rows") for no, rule in unique_rules) + "))"))
+    else:
+        for no, rule in unique_rules:
+            counted = surplus(df.select(*rule.columns), list(rule.columns))
+            parts.append(counted.selectExpr(f"inline(array({outcome(no, rule, 'dup', 'total')}))"))
     if broken:
         parts.append(
             literal_table(

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodeworks.functions import bridge_mine, exact_avg, exact_sum, half_up, month_of, parse_date, ratio, zfill
+from lodeworks.functions import bridge_mine, exact_avg, exact_parts, exact_sum, exact_total, half_up, month_of, parse_date, ratio, zfill
 from lodeworks.operators.joins import attach_all
 
 
@@ -149,3 +149,107 @@ def fulfillment(wide: DataFrame) -> DataFrame:
         half_up(exact_avg("NETWR"), 2).alias("avg_order_amount"),
         F.countDistinct(F.substring("ERDAT", 1, 10)).alias("active_days"),
     )
+
+
+# --- the same questions without the wide table ---
+#
+# An order stands in the wide table once for each face of its mine. Each side is therefore aggregated below the
+# join, and the sums of one side are multiplied by the rows of the other: integer sums stay exact under that, so the
+# answers are the wide table's to the last bit. Customers hold a key once, as the grain of the wide table has it.
+
+
+def orders_by_mine(orders: DataFrame) -> DataFrame:
+    """Orders and money per mine, each order counted once; the sums in two integer parts."""
+    net = half_up("NETWR", 2)
+    (high, low), (high2, low2) = exact_parts(net), exact_parts(net, 2)
+    return orders.groupBy(bridge_mine("BZIRK").alias("mine_code")).agg(
+        F.count(F.lit(1)).alias("orders"),
+        F.countDistinct("VBELN").alias("order_count"),
+        F.count(net).alias("paid"),
+        high.alias("net_high"),
+        low.alias("net_low"),
+        exact_total(high2, low2, 2).alias("sales"),
+    )
+
+
+def faces_by_mine(tags: DataFrame) -> DataFrame:
+    """Faces per mine and the sum of their mean readings, in two integer parts."""
+    shown = half_up("avg_value", 4)
+    high, low = exact_parts(shown, 4)
+    faces = tags_by_face(tags).where(F.col("mine").isNotNull())
+    return faces.groupBy(F.col("mine").alias("mine_code")).agg(F.count(F.lit(1)).alias("faces"), F.count(shown).alias("measured"), high.alias("high"), low.alias("low"))
+
+
+def _times(parts: tuple[str, str], n: Column, scale: int) -> Column:
+    """The exact sum of values that stand n times each."""
+    return exact_total(F.col(parts[0]) * n, F.col(parts[1]) * n, scale)
+
+
+_NET, _READ = ("net_high", "net_low"), ("high", "low")
+
+
+def _repeated() -> Column:
+    """How often the wide table repeats an order: once per face, once without any."""
+    return F.coalesce("faces", F.lit(1))
+
+
+def production_vs_sales_by_side(orders: DataFrame, tags: DataFrame) -> DataFrame:
+    sides = orders_by_mine(orders).where(F.col("mine_code").isNotNull()).join(faces_by_mine(tags), "mine_code", "left")
+    production = F.try_divide(_times(_READ, F.col("orders"), 4), F.col("measured") * F.col("orders"))
+    price = F.try_divide(_times(_NET, _repeated(), 6), F.col("paid") * _repeated())
+    return sides.select("mine_code", "order_count", half_up(production, 2).alias("avg_production"), half_up(price, 2).alias("avg_order_amount"))
+
+
+def quality_pricing_by_side(orders: DataFrame, tags: DataFrame, samples: DataFrame) -> DataFrame:
+    lab = samples_by_mine(samples).select(F.col("MINE_CODE").alias("mine_code"), half_up("AD", 4).alias("ash"), half_up("QGR_AD", 4).alias("cal"))
+    sides = orders_by_mine(orders).where(F.col("mine_code").isNotNull()).join(lab.where(F.col("ash").isNotNull()), "mine_code")
+    faces = tags_by_face(tags).groupBy(F.col("mine").alias("mine_code")).agg(F.count(F.lit(1)).alias("faces"))
+    rows = F.col("orders") * _repeated()
+
+    def mean(value: str) -> Column:
+        units = F.floor(F.col(value) * F.lit(1e4) + F.lit(0.5))
+        return F.try_divide(exact_total(F.shiftright(units, 20) * rows, units.bitwiseAND(F.lit((1 << 20) - 1)) * rows, 4), F.when(F.col(value).isNotNull(), rows))
+
+    price = F.try_divide(_times(_NET, _repeated(), 6), F.col("paid") * _repeated())
+    return sides.join(faces, "mine_code", "left").select(
+        "mine_code",
+        half_up(mean("ash"), 2).alias("avg_ash"),
+        half_up(mean("cal"), 2).alias("avg_calorific"),
+        half_up(price, 2).alias("avg_price"),
+        half_up(ratio(mean("cal"), mean("ash")), 4).alias("price_per_calorific"),
+    )
+
+
+def safety_trend_by_side(orders: DataFrame, tags: DataFrame) -> DataFrame:
+    """Every order of a mine shows the same mean of a face, so the spread is zero, and none for a single order."""
+    counted = orders.groupBy(bridge_mine("BZIRK").alias("mine_code")).agg(F.count(F.lit(1)).alias("orders"))
+    faces = tags_by_face(tags).where(F.col("face").isNotNull()).select(F.col("mine").alias("mine_code"), "face", half_up("avg_value", 4).alias("shown"))
+    units = F.floor(F.col("shown") * F.lit(1e4) + F.lit(0.5))
+    mean = exact_total(F.shiftright(units, 20) * F.col("orders"), units.bitwiseAND(F.lit((1 << 20) - 1)) * F.col("orders"), 4) / F.col("orders")
+    return faces.join(counted, "mine_code").select(
+        "mine_code",
+        "face",
+        half_up(mean, 2).alias("mean_value"),
+        half_up(F.when(F.col("shown").isNotNull() & (F.col("orders") > 1), F.lit(0.0)), 2).alias("stddev_value"),
+        F.col("orders").alias("sample_size"),
+    )
+
+
+def fulfillment_by_side(orders: DataFrame, customers: DataFrame, tags: DataFrame) -> DataFrame:
+    """Per customer name; an order stays one row, and brings the number of its mine's faces as a weight."""
+    faces = tags_by_face(tags).groupBy(F.col("mine").alias("mine_code")).agg(F.count(F.lit(1)).alias("faces"))
+    named = customers.where(F.col("NAME1").isNotNull()).select(zfill("KUNNR", 10).alias("_k"), F.col("NAME1").alias("customer_name"))
+    keyed = orders.select("VBELN", "ERDAT", half_up("NETWR", 2).alias("net"), bridge_mine("BZIRK").alias("mine_code"), zfill("KUNNR", 10).alias("_k"))
+    rows = attach_all(keyed, (faces, "mine_code")).withColumn("times", _repeated()).join(named, "_k")
+
+    def parts(scale: int) -> tuple[Column, Column]:
+        units = F.floor(F.col("net") * F.lit(float(10**scale)) + F.lit(0.5))
+        return F.sum(F.shiftright(units, 20) * F.col("times")), F.sum(units.bitwiseAND(F.lit((1 << 20) - 1)) * F.col("times"))
+
+    return rows.groupBy("customer_name").agg(
+        F.countDistinct("VBELN").alias("order_count"),
+        exact_total(*parts(2), 2).alias("total_amount"),
+        exact_sum("net").alias("order_amount"),
+        half_up(F.try_divide(exact_total(*parts(6), 6), F.sum(F.when(F.col("net").isNotNull(), F.col("times")))), 2).alias("avg_order_amount"),
+        F.countDistinct(F.substring("ERDAT", 1, 10)).alias("active_days"),
+    )

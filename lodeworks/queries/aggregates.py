@@ -10,11 +10,11 @@ from lodeworks.operators.quality import null_counts
 from lodeworks.operators.quantiles import exact_quantiles
 from lodeworks.constants import ASH_RANGES
 from lodeworks.plans import marts
-from lodeworks.queries.joins import QUANTILE_SQL, RANGES_SQL, WIDE_CTES, WIDE_ROLES, wide_table
+from lodeworks.queries.joins import QUANTILE_SQL, RANGES_SQL, WIDE_CTES, WIDE_ROLES
 from lodeworks.queries.registry import query
 from lodeworks.queries.roles import davg, dsum, half, sql
 from lodeworks.session import work_path
-from lodeworks.sources import tables as lake
+from lodeworks.sources import partitions
 
 SALES_DAILY_SQL = (
     "SELECT strftime(TRY_CAST(ERDAT AS DATE), '%Y-%m-%d') AS sale_date, count(*) AS order_count, "
@@ -74,7 +74,7 @@ def agg_coal_quality(t):
     ),
 )
 def agg_wide_production_sales(t):
-    return marts.production_vs_sales(wide_table(t))
+    return marts.production_vs_sales_by_side(t.dwd_vbak, t.dwd_tags)
 
 
 @query(
@@ -88,7 +88,7 @@ def agg_wide_production_sales(t):
     ),
 )
 def agg_wide_pricing(t):
-    return marts.quality_pricing(wide_table(t))
+    return marts.quality_pricing_by_side(t.dwd_vbak, t.dwd_tags, t.dwd_samples)
 
 
 @query(
@@ -101,7 +101,7 @@ def agg_wide_pricing(t):
     ),
 )
 def agg_wide_safety(t):
-    return marts.safety_trend(wide_table(t)).orderBy(F.desc("stddev_value"), "mine_code", "face")
+    return marts.safety_trend_by_side(t.dwd_vbak, t.dwd_tags).orderBy(F.desc("stddev_value"), "mine_code", "face")
 
 
 @query(
@@ -116,7 +116,7 @@ def agg_wide_safety(t):
     ),
 )
 def agg_wide_fulfillment(t):
-    return marts.fulfillment(wide_table(t)).orderBy(F.desc("total_amount"), "customer_name").limit(20)
+    return marts.fulfillment_by_side(t.dwd_vbak, t.dwd_kna1, t.dwd_tags).orderBy(F.desc("total_amount"), "customer_name").limit(20)
 
 
 @query("agg_cond_count", sql("tags", "SELECT mine, count(*) FILTER (WHERE status = -1) AS missing, count(*) FILTER (WHERE value > 100) AS high FROM tags GROUP BY mine"))
@@ -457,14 +457,13 @@ def agg_sensor_types(t):
     "SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, count(*) AS orders, " + dsum("o_totalprice") + " AS amount FROM orders GROUP BY 1",
 )
 def agg_incremental(t):
-    """A stale daily table, some days changed: the refreshed table equals a full rebuild."""
-    facts = t.orders.select(F.col("o_orderdate").cast("date").alias("day"), "o_orderstatus", "o_totalprice")
+    """A stale daily table filed by month, some days changed: with those months refreshed it equals a full rebuild."""
+    facts = t.orders.select(F.col("o_orderdate").cast("date").alias("day"), F.trunc("o_orderdate", "month").alias("month"), "o_orderstatus", "o_totalprice")
 
     def daily(df):
-        return df.groupBy("day").agg(F.count(F.lit(1)).alias("orders"), exact_sum("o_totalprice").alias("amount"))
+        return df.groupBy("month", "day").agg(F.count(F.lit(1)).alias("orders"), exact_sum("o_totalprice").alias("amount"))
 
     path = work_path(t.spark, "daily")
-    lake.commit(daily(facts.where("o_orderstatus != 'P'")), path)
-    stale = lake.read_version(t.spark, path)
-    fresh = agg.refresh_days(stale, facts, facts.where("o_orderstatus = 'P'"), "day", daily)
-    return fresh.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
+    partitions.replace(daily(facts.where("o_orderstatus != 'P'")), path, "month")
+    partitions.refresh(path, facts, facts.where("o_orderstatus = 'P'"), "month", daily)
+    return t.spark.read.parquet(path).select(F.date_format("day", "yyyy-MM-dd").alias("day"), "orders", "amount")

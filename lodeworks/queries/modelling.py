@@ -103,12 +103,17 @@ def dim_material(t):
     "dim_coal_type",
     sql(
         "dwd_samples",
-        "SELECT SAMPLE_TYPE AS coal_type, lo AS ash_min, hi AS ash_max FROM (SELECT DISTINCT SAMPLE_TYPE FROM dwd_samples) LEFT JOIN ranges USING (SAMPLE_TYPE)",
+        "SELECT SAMPLE_TYPE AS coal_type, coalesce(l.coal_name, SAMPLE_TYPE) AS coal_name, lo AS ash_min, hi AS ash_max, "
+        f"{half('l.sulfur')} AS sulfur_limit_pct FROM (SELECT DISTINCT SAMPLE_TYPE FROM dwd_samples) LEFT JOIN ranges USING (SAMPLE_TYPE) LEFT JOIN l USING (SAMPLE_TYPE)",
         ranges=RANGES_SQL,
+        l="SELECT SAMPLE_TYPE, SAMPLE_TYPE || ' (' || min(MINE_CODE) || ')' AS coal_name, max(\"全硫St\") AS sulfur FROM samples WHERE TEST_LAB <> 'LAB3' AND SAMPLE_TYPE <> '其他' GROUP BY 1",
     ),
 )
 def dim_coal_type(t):
-    return dimensions.dim_coal_type(t.dwd_samples, ASH_RANGES)
+    """Named after the first mine that sent a sample; the limit is the most sulfur that three of the labs ever measured."""
+    known = t.samples.where("TEST_LAB <> 'LAB3' AND SAMPLE_TYPE <> '其他'").groupBy(F.col("SAMPLE_TYPE").alias("coal_type"))
+    labels = known.agg(F.concat(F.first("SAMPLE_TYPE"), F.lit(" ("), F.min("MINE_CODE"), F.lit(")")).alias("coal_name"), F.max("全硫St").alias("sulfur_limit_pct"))
+    return dimensions.dim_coal_type(t.dwd_samples, ASH_RANGES, labels)
 
 
 @query(

@@ -2,7 +2,7 @@
 
 from lodeworks.plans import marts
 from lodeworks.queries.aggregates import COAL_QUALITY_SQL, SALES_DAILY_SQL, TAG_ALARM_SQL
-from lodeworks.queries.joins import WIDE_CTES, WIDE_ROLES, wide_table
+from lodeworks.queries.joins import WIDE_CTES, WIDE_ROLES
 from lodeworks.queries.registry import query
 from lodeworks.queries.roles import davg, dsum, half, sql
 from lodeworks.sources.files import register_views
@@ -100,10 +100,13 @@ def nlq_7(t):
     ),
 )
 def nlq_8(t):
-    """Sales next to production by mine; an order counts once although the wide table repeats it per face."""
-    register_views({"dwa_sales_production": wide_table(t)})
+    """Sales next to production by mine; an order counts once although the wide table repeats it per face.
+
+    Asked over the two sides of the wide table, each with one row per mine."""
+    register_views({"sales_by_mine": marts.orders_by_mine(t.dwd_vbak), "production_by_face": marts.tags_by_face(t.dwd_tags)})
     return t.spark.sql(
-        "SELECT mine_code, CAST(sum(CAST(CASE WHEN first_face THEN NETWR END AS DECIMAL(18,2))) AS DOUBLE) AS sales, "
-        "CAST(floor(try_divide(CAST(sum(CAST(daily_production AS DECIMAL(18,4))) AS DOUBLE), count(daily_production)) * 100D + 0.5D) AS DOUBLE) / 100D AS production "
-        "FROM dwa_sales_production GROUP BY mine_code"
+        "WITH p AS (SELECT mine AS mine_code, sum(CAST(floor(avg_value * 10000D + 0.5D) / 10000D AS DECIMAL(18,4))) AS total, count(avg_value) AS n "
+        "FROM production_by_face GROUP BY mine) "
+        "SELECT s.mine_code, s.sales, CAST(floor(try_divide(CAST(p.total * s.orders AS DOUBLE), CAST(p.n * s.orders AS DOUBLE)) * 100D + 0.5D) AS DOUBLE) / 100D AS production "
+        "FROM sales_by_mine s LEFT JOIN p ON s.mine_code = p.mine_code"
     )

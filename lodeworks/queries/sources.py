@@ -7,7 +7,7 @@ from lodeworks.functions import in_sample, sample_rank
 from lodeworks.queries.registry import query
 from lodeworks.queries.roles import sql
 from lodeworks.session import work_path
-from lodeworks.sources import files
+from lodeworks.sources import files, partitions
 from lodeworks.sources import tables as lake
 
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"]
@@ -124,12 +124,12 @@ def snk_subject_copy(t):
 def snk_upsert(t):
     path = work_path(t.spark, "upsert")
     o = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
-    lake.commit(o, path)
+    partitions.upsert(o, path, ["o_orderkey"], ["o_totalprice"], buckets=16)
     changed = o.where("o_orderstatus = 'F'").withColumns(
         {"o_orderstatus": F.lit("X"), "o_totalprice": F.col("o_totalprice") + 1}
     )
-    lake.upsert(changed, path, ["o_orderkey"], ["o_totalprice"])
-    return lake.read_version(t.spark, path)
+    partitions.upsert(changed, path, ["o_orderkey"], ["o_totalprice"], buckets=16)
+    return partitions.read_buckets(t.spark, path)
 
 
 def _two_versions(t, label):

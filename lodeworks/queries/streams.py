@@ -1,16 +1,18 @@
-"""Streaming jobs, each drained over the given files. Append-mode windows leave out what the
-watermark has not closed; the SQL twins say so."""
+"""Streaming jobs, each drained over the given files. Windows that the watermark has not closed are left
+out, as the SQL twins say; late rows of closed ones are not."""
 
 from pyspark.sql import functions as F
 
+from lodeworks.operators import ordered
 from lodeworks.queries.ordered import stamp
 from lodeworks.queries.registry import query
 from lodeworks.queries.relational import _LEVEL, _LIMITS
 from lodeworks.queries.roles import ROLES, half, davg, sql
 from lodeworks.session import work_path
+from lodeworks.sources import partitions
 from lodeworks.sources import tables as lake
 from lodeworks.sources.files import since
-from lodeworks.streaming import alarms, ingest, io, stateful, windows
+from lodeworks.streaming import alarms, ingest, io, late, windows
 
 _CLOSED = "(SELECT max(ts) - INTERVAL 10 MINUTE FROM events)"
 
@@ -24,6 +26,11 @@ def point_stream(t):
     return io.event_time(raw_points(t))
 
 
+def timed_points(t):
+    """Without a watermark: these jobs keep their own."""
+    return raw_points(t).withColumn("ts", F.col("ts").cast("timestamp"))
+
+
 @query("st_source", sql("points", "SELECT event_id, point, value FROM points"))
 def st_source(t):
     return io.run_append(point_stream(t).select("event_id", "point", "value"), "source")
@@ -63,19 +70,18 @@ def _window_sql(size: str, slide: str) -> str:
     )
 
 
-def _windows(stream, label):
-    out = io.run_append(stream, label)
+def _shown(out):
     return out.select("point", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "n", "avg_value", "min_value", "max_value")
 
 
 @query("st_tumbling", sql("points", _window_sql("8 HOUR", "8 HOUR")))
 def st_tumbling(t):
-    return _windows(windows.windowed(point_stream(t), "point", "8 hours"), "tumbling")
+    return _shown(late.run_aggregates(timed_points(t), "point", "8 hours", "tumbling"))
 
 
 @query("st_preagg", sql("points", _window_sql("2 HOUR", "1 HOUR")))
 def st_preagg(t):
-    return _windows(windows.windowed(point_stream(t), "point", "2 hours", "1 hour"), "sliding")
+    return _shown(late.run_aggregates(timed_points(t), "point", "2 hours", "sliding", slide="1 hour"))
 
 
 @query(
@@ -89,7 +95,7 @@ def st_preagg(t):
     ),
 )
 def st_sigma(t):
-    stats = io.run_append(windows.window_stats(point_stream(t), "point", "24 hours", "6 hours"), "sigma-stats")
+    stats = late.run_stats(timed_points(t), "point", "24 hours", "6 hours", "sigma-stats")
     hits = windows.sigma_alerts(point_stream(t), stats, "point", "6 hours")
     return io.run_append(hits.select("event_id", "point", "value"), "sigma")
 
@@ -104,8 +110,9 @@ def st_sigma(t):
     ),
 )
 def st_debounce(t):
-    glitches = io.run_append(stateful.debounce(point_stream(t), changes=3, within_seconds=6 * 3600), "debounce")
-    return glitches.select("device", "event_id", stamp("ts").alias("ts"))
+    rows = late.run_rows(timed_points(t).select("device", "state", "event_id", "ts"), "debounce")
+    found = ordered.glitches(rows, "device", "state", ["ts", "event_id"], changes=3, within_seconds=6 * 3600)
+    return found.select("device", "event_id", stamp("ts").alias("ts"))
 
 
 @query(
@@ -118,7 +125,7 @@ def st_debounce(t):
     ),
 )
 def st_heartbeat(t):
-    marks = io.run_append(stateful.heartbeat(point_stream(t), silence_seconds=24 * 3600), "heartbeat")
+    marks = late.run_heartbeat(timed_points(t), "device", 24 * 3600, "heartbeat")
     return marks.select("device", stamp("offline_at").alias("offline_at"))
 
 
@@ -142,8 +149,8 @@ def st_session(t):
 
 @query("st_dedup", sql("points", "SELECT DISTINCT event_id, point, value FROM points"))
 def st_dedup(t):
-    replayed = io.event_time(raw_points(t).unionByName(raw_points(t)))
-    return io.run_append(windows.without_replays(replayed, ["event_id"]).select("event_id", "point", "value"), "dedup")
+    replayed = timed_points(t).unionByName(timed_points(t))
+    return late.run_distinct(replayed, ["event_id"], "dedup").select("event_id", "point", "value")
 
 
 @query("st_incr_append", "SELECT o_orderkey, o_totalprice, 'sap_erp' AS source_system FROM orders")
@@ -159,8 +166,8 @@ def st_incr_append(t):
 def st_incr_upsert(t):
     path = work_path(t.spark, "customer-state")
     orders = io.stream_table(t.spark, t.sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
-    ingest.upsert_increments(orders, path, ["o_custkey"], ["o_orderkey"])
-    return lake.read_version(t.spark, path)
+    ingest.upsert_buckets(orders, path, ["o_custkey"], ["o_orderkey"], buckets=16)
+    return partitions.read_buckets(t.spark, path)
 
 
 @query("st_incr_overwrite", "SELECT c_custkey, c_name, c_mktsegment FROM customer")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from lodeworks.session import work_path
+from lodeworks.sources import partitions
 from lodeworks.sources import tables as lake
 from lodeworks.sources.files import with_audit
 from lodeworks.streaming.io import run_append, run_batches
@@ -16,8 +17,14 @@ def append_increments(stream: DataFrame, source_system: str, path: str | None =
     return run_append(with_audit(stream, source_system), "increment", path, checkpoint)
 
 
+def upsert_buckets(stream: DataFrame, path: str, keys: list[str], newest: list[str], buckets: int = 64) -> None:
+    """Upsert-type increments into a table filed by key: a batch reads and writes the buckets of its keys only."""
+    run_batches(stream, "upsert", lambda batch, _: partitions.upsert(batch, path, keys, newest, buckets))
+
+
 def upsert_increments(stream: DataFrame, path: str, keys: list[str], newest: list[str]) -> None:
-    """Upsert-type increments: the newest row per key wins. Repeating a batch changes nothing."""
+    """Upsert-type increments into a versioned table: each batch is a new version of the whole table, so this is
+    for small tables whose history is wanted. Repeating a batch changes nothing."""
     run_batches(stream, "upsert", lambda batch, _: _unless_empty(batch, lambda b: lake.upsert(b, path, keys, newest)))
 
 

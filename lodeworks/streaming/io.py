@@ -51,9 +51,10 @@ def run_append(df: DataFrame, label: str, path: str | None = None, checkpoint: s
     return spark.read.schema(df.schema).parquet(path)
 
 
-def run_batches(df: DataFrame, label: str, handle: Callable[[DataFrame, int], None]) -> None:
+def run_batches(df: DataFrame, label: str, handle: Callable[[DataFrame, int], None], checkpoint: str | None = None) -> None:
     """Drain a stream through a function per micro-batch. A batch may be repeated after a failure,
-    so the function must give the same table when it sees a batch twice."""
+    so the function must give the same table when it sees a batch twice. A run with the checkpoint of an earlier one
+    goes on with the next batch."""
     spark = df.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-    _drain(df.writeStream.option("checkpointLocation", work_path(spark, f"{label}-checkpoint")).foreachBatch(handle))
+    _drain(df.writeStream.option("checkpointLocation", checkpoint or work_path(spark, f"{label}-checkpoint")).foreachBatch(handle))

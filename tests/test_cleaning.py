@@ -5,7 +5,7 @@ import pytest
 from lodeworks.functions import exact_avg, half_up, mask_text, sensor_of, zfill
 from lodeworks.operators import cleaning
 from lodeworks.operators.dedup import duplicate_rows, file_order, keep_first, surplus
-from lodeworks.operators.joins import flag_member, orphan_counts
+from lodeworks.operators.joins import flag_member, hot_keys, orphan_counts
 from pyspark.sql import functions as F
 
 
@@ -114,3 +114,19 @@ def test_a_hot_key_is_dealt_over_several_parts(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert counts == {True: 6_667, False: 23_333}
+
+
+def test_hot_keys_are_found_and_only_they_are_dealt(spark):
+    rows = [(-1, i) for i in range(400)] + [(None, i) for i in range(300)] + [(i, i) for i in range(300)] + [(7, i) for i in range(100)]
+    child = spark.createDataFrame(rows, "k bigint, _salt int").repartition(5)
+    assert hot_keys(child, "k", 0.05) == ([-1, 7], True) and hot_keys(child.limit(0), "k") == ([], False)
+    assert hot_keys(child.select(F.array("k").alias("k")), "k") == ([], False)
+    parent = spark.createDataFrame([(7,), (7,), (5,), (None,), (299,), (1000,)], "k bigint")
+    want = sorted((k or 0, s, k in (5, 7, 299)) for k, s in rows)
+    for few in (0, 1_000_000):  # by exchange, by broadcast
+        got = flag_member(child, parent, "k", "_hit", broadcast_keys=few)
+        assert got.columns == ["k", "_salt", "_hit"] and sorted((r.k or 0, r._salt, r._hit) for r in got.collect()) == want
+    plan = flag_member(child, parent, "k", "ok", broadcast_keys=0)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 1 and "IN (-1,7)" in plan.replace(" ", "").replace("IN(", "IN (")
+    calm = flag_member(spark.range(1000).withColumnRenamed("id", "k"), parent, "k", "ok", broadcast_keys=0)
+    assert "Generate" not in calm._jdf.queryExecution().optimizedPlan().toString() and calm.where("ok").count() == 3
