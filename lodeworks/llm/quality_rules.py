@@ -3,8 +3,12 @@
 Counts come from the whole text. Base rules: too few words, or too many words in 8-word windows that
 occur twice or more. Beyond them a text is rejected when its histogram of character classes or of its
 language's common words is far (Jensen-Shannon distance, 0 to 1) from the language's reference. The
-references are sums over all documents that pass the base rules. Guards: texts under ``min_chars``
-characters or ``min_words`` words, and languages without a word list, are left to the base rules.
+references are sums over all documents that pass the base rules.
+
+A short text is far from its language by chance alone: n draws from a reference of k kinds lie (k - 1) / (8 n ln 2) from
+it in expected squared distance. Below ``full_words`` words (``full_chars`` characters) the squared limit grows by ``spread`` of
+what that is more than at full length, so that the limit has no step. Guards: texts under ``min_words``, the base rules' limit, or
+``min_chars``, and languages without a word list, are left to the base rules.
 
 A null or empty text has no words and fails. Repeated rows are judged alike, a null language has no
 reference, other input columns are ignored.
@@ -134,6 +138,12 @@ def distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(left + right, 0) / 2)
 
 
+def limits(base: float, kinds: int, n: np.ndarray, full: float, spread: float) -> np.ndarray:
+    """The greatest distance allowed to a histogram of n draws."""
+    more = (kinds - 1) / (8 * np.log(2)) * np.maximum(1 / np.maximum(n, 1) - 1 / full, 0)
+    return np.sqrt(base**2 + spread * more)
+
+
 def _members(language: str) -> np.ndarray:
     return np.asarray([VOCABULARY.index(w) for w in COMMON[language]])
 
@@ -143,10 +153,13 @@ def apply_rules(
     id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
-    min_words: int = 100,
-    min_chars: int = 200,
+    min_words: int = 20,
+    min_chars: int = 60,
     max_class_distance: float = 0.3,
     max_common_distance: float = 0.29,
+    full_words: float = 100,
+    full_chars: float = 500,
+    spread: float = 0.4,
 ) -> DataFrame:
     spark = docs.sparkSession
     kind = dict(docs.dtypes)[id_col]
@@ -192,7 +205,9 @@ def apply_rules(
                     by_class[mine] = distance(classes[mine], class_sums)
                     by_word[mine] = distance(own, word_sums)
             bad = np.asarray(batch.column("base_failed"), bool)
-            kept = ~bad & ~(by_class > max_class_distance) & ~(by_word > max_common_distance)
+            class_limit = limits(max_class_distance, _CLASSES, classes.sum(axis=1), full_chars, spread)
+            word_limit = limits(max_common_distance, len(COMMON["en"]) + 1, words, full_words, spread)
+            kept = ~bad & ~(by_class > class_limit) & ~(by_word > word_limit)
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(c) for c in ("id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")),
