@@ -11,8 +11,12 @@ not by a random bit of step and word, so windows at small edit distance agree in
 places of the embedding form hash keys; ``walks`` x ``samples`` tables of ``places`` places each are
 looked up. What collides is verified by exact edit distance against the whole surrounding passage.
 
-Sizes fall into classes within ``ratio`` of each other; the first words of an item, as many as its
-class has, are embedded, and the whole item is verified. Items are taken in blocks of about ``block``,
+Items of more than ``piece`` words are cut into even pieces of at most that many. Where an item stands with its share of
+edits, at least one of its pieces stands with that share of its own words or less; each piece is looked up like an
+item, and the whole item is verified around it. So recall does not fall with length.
+
+Sizes fall into classes within ``ratio`` of each other; the first words of a piece, as many as its
+class has, are embedded. Items are taken in blocks of about ``block``,
 which bounds what is broadcast; each block is one pass over the documents.
 
 Items under ``min_words`` words are searched for word by word, without edits: by hashed runs of their own
@@ -80,7 +84,7 @@ def _runs(hashes: np.ndarray, size: int = _RUN) -> np.ndarray:
 class Index:
     """Hash tables over the embedded items of one block."""
 
-    def __init__(self, items: list[tuple[object, np.ndarray]], max_edit: float, ratio: float, walks: int, samples: int, places: int, min_words: int):
+    def __init__(self, items: list[tuple[object, np.ndarray]], max_edit: float, ratio: float, walks: int, samples: int, places: int, min_words: int, piece: int = 60):
         self.items, self.max_edit, self.walks, self.samples, self.places = items, max_edit, walks, samples, places
         self.edits = np.asarray([int(max_edit * len(h)) if len(h) >= min_words else 0 for _, h in items], np.int64)
         self.words = [h.tolist() for _, h in items]
@@ -92,18 +96,24 @@ class Index:
             keys = _runs(np.concatenate([items[k][1] for k in members]), size)[::size]
             order = np.argsort(keys, kind="stable")
             self.short[size] = keys[order], members[order]
-        #: Members by size and by how many runs of the benchmark any window near them holds.
-        self.classes: dict[tuple[int, int], list[int]] = {}
+        #: Pieces: their item, the place of their first word in it, and the edits they may hold.
+        cuts = []
         for k, (_, h) in enumerate(items):
-            if len(h) < min_words:
-                continue
-            size = min(max(int(ratio ** np.floor(np.log(len(h)) / np.log(ratio) + 1e-9)), 1), len(h))
-            need = max(0, size - _RUN + 1 - _RUN * int(self.edits[k]))
+            bounds = np.linspace(0, len(h), -(-len(h) // piece) + 1).astype(int).tolist() if len(h) >= min_words else [0]
+            cuts += [(k, begin, end) for begin, end in zip(bounds, bounds[1:], strict=False)]
+        self.piece_item, self.piece_at = (np.asarray([c[x] for c in cuts], np.int64) for x in (0, 1))
+        self.piece_edits = np.asarray([int(max_edit * (end - begin)) for _, begin, end in cuts], np.int64)
+        #: Pieces by size and by how many runs of the benchmark any window near them holds.
+        self.classes: dict[tuple[int, int], list[int]] = {}
+        for k, (_, begin, end) in enumerate(cuts):
+            length = end - begin
+            size = min(max(int(ratio ** np.floor(np.log(length) / np.log(ratio) + 1e-9)), 1), length)
+            need = max(0, size - _RUN + 1 - _RUN * int(self.piece_edits[k]))
             self.classes.setdefault((size, need), []).append(k)
         self.steps = 2 * max((size for size, _ in self.classes), default=0)
         self.tables = {}
         for (size, need), members in sorted(self.classes.items()):
-            hashes = np.concatenate([items[k][1][:size] for k in members])
+            hashes = np.concatenate([items[cuts[k][0]][1][cuts[k][1] :][:size] for k in members])
             begin = np.arange(len(members)) * size
             for walk in range(walks):
                 embedded = self.embed(hashes, begin, np.full(len(begin), size), walk)
@@ -166,7 +176,7 @@ class Index:
         every = np.arange(n)
         pieces = []
         for (size, need), members in self.classes.items():
-            slack = int(self.edits[members].max())
+            slack = int(self.piece_edits[members].max())
             begin = every[stop - every >= size - slack]
             end = np.minimum(begin + size + slack, stop[begin])
             begin = begin[shared[end] - shared[begin] >= need]
@@ -195,7 +205,8 @@ class Index:
         if not met:
             return
         pairs = np.unique(np.concatenate(met), axis=0)
-        pairs = np.column_stack([row[pairs[:, 0]], pairs[:, 1], pairs[:, 0]])
+        # About where the whole item starts; that may lie in front of the text.
+        pairs = np.column_stack([row[pairs[:, 0]], self.piece_item[pairs[:, 1]], pairs[:, 0] - self.piece_at[pairs[:, 1]]])
         pairs = pairs[np.lexsort((pairs[:, 2], pairs[:, 1], pairs[:, 0]))]
         # Windows that lie within reach of each other are verified as one passage.
         reach = np.asarray([len(w) for w in self.words])[pairs[:, 1]] + self.edits[pairs[:, 1]]
@@ -226,6 +237,7 @@ def index_blocks(
     samples: int = 6,
     places: int = 3,
     block: int = 20_000,
+    piece: int = 60,
 ) -> list:
     """A broadcast Index for each block of about ``block`` items."""
     items = benchmark.select(F.col(item_col).alias("item"), F.col(text_col).alias("text")).where(F.col("text").isNotNull()).distinct()
@@ -237,7 +249,7 @@ def index_blocks(
         for at, stop, w in slices(mine.column("text").combine_chunks(), folded=True):
             hashes = w.hashes()
             entries += [(names[at + r], hashes[w.first[r] : w.first[r + 1]]) for r in range(stop - at) if w.first[r + 1] > w.first[r]]
-        out.append(benchmark.sparkSession.sparkContext.broadcast(Index(entries, max_edit, ratio, walks, samples, places, min_words)))
+        out.append(benchmark.sparkSession.sparkContext.broadcast(Index(entries, max_edit, ratio, walks, samples, places, min_words, piece)))
     return out
 
 
