@@ -205,6 +205,17 @@ def _prune(batches: Iterator[pa.RecordBatch], least: tuple[int, ...], id_type: p
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], [*_UNIT, "node", "rep", "at", "near"])
 
 
+def _with_node(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """(node, text) of the texts that have words."""
+    for batch in batches:
+        texts = batch.column("text")
+        for at, stop, grams, first in shingle_sets(texts, size):
+            full = np.flatnonzero(np.diff(first) > 0)
+            if len(full):
+                nodes = [d.tobytes() for d in _digests(grams, first[:-1][full])]
+                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), texts.slice(at, stop - at).take(pa.array(full))], ["node", "text"])
+
+
 def _verify(batches: Iterator[pa.RecordBatch], size: int, similarity: float) -> Iterator[pa.RecordBatch]:
     for rows in _units(batches, 1):
         sets: dict[int, np.ndarray] = {}
@@ -293,10 +304,11 @@ def near_duplicates(
     )
     left = stored(left, "jaccard-candidates")
 
-    texts = marked(rows, ["id"], left.select(F.col("rep").alias("id")), "wanted").where("wanted").select(F.col("id").alias("rep"), "text")
-    same = left["rep"].eqNullSafe(texts["rep"])
+    # One text of each candidate class, met by the class and not by the id: many texts may have no id, or the same.
+    texts = marked(rows, ["id"], left.select(F.col("rep").alias("id")), "wanted").where("wanted").select("text")
+    texts = texts.mapInArrow(lambda b: _with_node(b, size), "node binary, text string").groupBy("node").agg(F.first("text").alias("text"))
     verified = (
-        left.join(texts, same)
+        left.join(texts, "node")
         .select(*_UNIT, "node", "at", "near", "text")
         .repartition(*_UNIT)
         .sortWithinPartitions(*_UNIT)
