@@ -41,7 +41,7 @@ def read_partitions(spark: SparkSession, path: str, column: str, values: list[st
 def finish(spark: SparkSession, path: str, column: str) -> None:
     """Carry a complete stage over into the table; drop one that is not."""
     stage = _stage(path)
-    if exists(spark, f"{stage}/_SUCCESS"):
+    if exists(spark, f"{stage}/_SUCCESS") and folders(spark, stage, column):
         staged = spark.read.parquet(stage)
         staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
     if exists(spark, stage):
