@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodeworks.llm import decontamination, jaccard_join, line_dedup, neighbours, pieces
-from lodeworks.llm.components import marked, stored
+from lodeworks.llm.components import free, marked, stored
 from lodeworks.llm.queries import vocabulary_path
 from lodeworks.llm.registry import table
 from lodeworks.session import work_path
@@ -28,10 +28,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One line of each group of near-equal lines. Documents left without any text go."""
-    kept = line_dedup.dedup_lines(docs).where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    counts = free("n_lines", docs), free("n_removed", docs)
+    untouched = F.col(counts[1]) == 0
+    kept = line_dedup.dedup_lines(docs, counts=counts).where(untouched | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in docs.columns:
-        kept = kept.withColumn("n_chars", F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return kept.select(*docs.columns)
+        kept = kept.withColumn("n_chars", F.when(untouched, F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,17 +43,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     found = jaccard_join.near_duplicates(docs).where(F.col("doc_id").isNotNull())
     ids = found.groupBy("doc_id").agg(F.max((F.col("class_id") == F.col("doc_id"))).alias("first"), F.count(F.lit(1)).alias("n"))
-    touched = stored(ids.where("NOT first OR n > 1").select("doc_id", "first"), "pipeline-duplicates")
-    split = marked(docs, ["doc_id"], touched.select("doc_id"), "_touched")
-    moved = split.where("_touched").drop("_touched").join(touched, "doc_id", "left")
-    one = moved.where("first").dropDuplicates(["doc_id", "text"])
+    first, flag = free("first", docs), free("_touched", docs)
+    touched = stored(ids.where("NOT first OR n > 1").select("doc_id", F.col("first").alias(first)), "pipeline-duplicates")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    split = marked(docs, ["doc_id"], touched.select("doc_id"), flag)
+    moved = split.where(F.col(flag)).drop(flag).join(touched, "doc_id", "left")
+    one = moved.where(F.col(first)).dropDuplicates(["doc_id", "text"])
     # Distinct rows only: `first` is null for rows that the bit map let pass without need.
-    return (
-        split.where("NOT _touched")
-        .select(*docs.columns)
-        .unionByName(moved.where("first IS NULL").select(*docs.columns))
-        .unionByName(one.select(*docs.columns))
-    )
+    still = split.where(~F.col(flag)).select(*columns).unionByName(moved.where(F.col(first).isNull()).select(*columns))
+    return still.unionByName(one.select(*columns))
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -44,6 +44,14 @@ def _bits(*key: str | Column) -> tuple[Column, Column]:
     return F.pmod(h, F.lit(SLOTS)), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftright(h, 20), F.lit(64)).cast("int"))
 
 
+def free(name: str, df: DataFrame) -> str:
+    """The name, with underscores in front until no column of df has it (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def marked(df: DataFrame, keys: list[str], wanted: DataFrame, flag: str) -> DataFrame:
     """df with a boolean column: false only where the keys are surely not in ``wanted``.
 
@@ -51,6 +59,7 @@ def marked(df: DataFrame, keys: list[str], wanted: DataFrame, flag: str) -> Data
     saves moving rows; beyond some ten million wanted keys it saves nothing, and nothing goes wrong.
     """
     slot, bit = _bits(*keys)
-    bitmap = wanted.select(slot.alias("_slot"), bit.alias("_bit")).groupBy("_slot").agg(F.bit_or("_bit").alias("_bits"))
-    probe = df.withColumns({"_slot": slot, "_bit": bit})
-    return probe.join(F.broadcast(bitmap), "_slot", "left").withColumn(flag, F.coalesce(F.col("_bits").bitwiseAND(F.col("_bit")) != 0, F.lit(False))).drop("_slot", "_bit", "_bits")
+    at, one, all_ = (free(name, df) for name in ("_slot", "_bit", "_bits"))
+    bitmap = wanted.select(slot.alias(at), bit.alias(one)).groupBy(at).agg(F.bit_or(one).alias(all_))
+    probe = df.withColumns({at: slot, one: bit})
+    return probe.join(F.broadcast(bitmap), at, "left").withColumn(flag, F.coalesce(F.col(all_).bitwiseAND(F.col(one)) != 0, F.lit(False))).drop(at, one, all_)

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodeworks.llm.components import components, marked, stored
+from lodeworks.llm.components import components, free, marked, stored
 
 BANDS, ROWS = 5, 2
 #: About how many lines of a bucket are paired with as many others in one unit.
@@ -119,20 +119,23 @@ def repeated_lines(
     return gone.select("id", "pos", "keeper")
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The input rows and columns, the text without removed lines, and two more columns: n_lines, n_removed."""
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counts: tuple[str, str] = ("n_lines", "n_removed"), **options) -> DataFrame:
+    """The input rows and columns, the text without removed lines, and two more columns, named by ``counts``: lines, and
+    lines removed. Input columns of these names give way to them; any other names are free."""
     gone = stored(repeated_lines(docs, id_col, text_col, **options).select("id", "pos"), "line-removals")
-    lists = gone.groupBy("id").agg(F.collect_set("pos").alias("_gone"))  # at most the lines of one document
+    docs = docs.drop(*counts)
+    lost, key, touched = (free(name, docs) for name in ("_gone", "_id", "_touched"))
+    lists = gone.groupBy(F.col("id").alias(key)).agg(F.collect_set("pos").alias(lost))  # at most the lines of one document
     # Documents that lose no line do not move.
-    split = marked(docs, [id_col], gone.select(F.col("id").alias(id_col)), "_touched")
+    split = marked(docs, [id_col], gone.select(F.col("id").alias(id_col)), touched)
     text = F.col(text_col)
 
     def counted(df: DataFrame, kept: Column, removed: Column) -> DataFrame:
         lines = F.coalesce(F.size(F.split(text, "\n")), F.lit(0)).cast("long")
-        return df.select(*(kept.alias(c) if c == text_col else F.col(c) for c in docs.columns), lines.alias("n_lines"), removed.cast("long").alias("n_removed"))
+        return df.select(*(kept.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns), lines.alias(counts[0]), removed.cast("long").alias(counts[1]))
 
-    still = counted(split.where("NOT _touched"), text, F.lit(0))
-    moved = split.where("_touched").join(lists.withColumnRenamed("id", "_id"), F.col(id_col) == F.col("_id"), "left")
-    kept = F.array_join(F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains("_gone", i)), "\n")
-    cut = counted(moved, F.when(F.col("_gone").isNull(), text).otherwise(kept), F.coalesce(F.size("_gone"), F.lit(0)))
+    still = counted(split.where(~F.col(touched)), text, F.lit(0))
+    moved = split.where(F.col(touched)).join(lists, F.col(id_col) == F.col(key), "left")
+    kept = F.array_join(F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains(F.col(lost), i)), "\n")
+    cut = counted(moved, F.when(F.col(lost).isNull(), text).otherwise(kept), F.coalesce(F.size(lost), F.lit(0)))
     return still.unionByName(cut)

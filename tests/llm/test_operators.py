@@ -12,6 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from lodeworks.llm import components as cc
 from lodeworks.llm import crossentropy, decontamination, jaccard_join, line_dedup, neighbours, pieces, pii, quality_rules, substrings, url_filter
 from lodeworks.llm.queries import vocabulary_path
@@ -94,6 +95,39 @@ def test_op1_links_copies_and_classes(docs, texts, none):
     assert jaccard_join.near_duplicates(none).count() == 0
 
 
+def test_op1_null_ids_meet_their_own_text_only(spark):
+    """Near copies without ids, and several texts under one id: as many rows to verify as with ids of their own."""
+    base = prose(1, 150)
+    texts = [changed(base, k, 0.004) for k in range(60)]
+    own = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    want = sorted((r.n_links, r.n_copies) for r in jaccard_join.near_duplicates(own).collect())
+    assert want[-1][0] > 20
+    for ids in (F.lit(None).cast("bigint"), F.lit(7).cast("bigint")):
+        got = jaccard_join.near_duplicates(own.withColumn("doc_id", ids)).collect()
+        assert sorted((r.n_links, r.n_copies) for r in got) == want and len({r.class_id for r in got}) == 1
+    real = jaccard_join._verify
+
+    def seen(batches, size, similarity):
+        for b in batches:
+            with open(path, "a") as f:
+                f.write("x" * b.num_rows)
+            yield from real(iter([b]), size, similarity)
+
+    import tempfile
+
+    sizes = []
+    for ids in (F.col("doc_id"), F.lit(None).cast("bigint")):
+        path = tempfile.mktemp()
+        jaccard_join._verify = seen
+        try:
+            jaccard_join.near_duplicates(own.withColumn("doc_id", ids)).count()
+        finally:
+            jaccard_join._verify = real
+        with open(path) as f:
+            sizes.append(len(f.read()))
+    assert sizes[0] == sizes[1]
+
+
 def test_op1_pruning_keeps_what_reaches_the_threshold():
     least = jaccard_join.least_matches(0.8, 1e-4)
     for k, m in enumerate(least):
@@ -215,6 +249,36 @@ def test_op4_finds_edited_items(spark, none):
     assert decontamination.find_items(given, bench.where("false")).count() == 0
 
 
+def test_op4_recall_by_length():
+    """Items of 10 to 1,000 words with exactly the allowed edits, anywhere in a text: at least 0.95 at each length."""
+    r = random.Random(12)
+    for length in (10, 20, 40, 60, 61, 100, 200, 400, 1000):
+        items = [prose(10_000 * length + k, length).split() for k in range(40)]
+        texts = []
+        for item in items:
+            words = list(item)
+            for at in sorted(r.sample(range(length), int(0.2 * length)), reverse=True):
+                words[at : at + 1] = r.choice([[], ["edited"], ["edited", words[at]]])
+            texts.append(" ".join([prose(r.random(), r.randrange(80)), *words, prose(r.random(), r.randrange(80))]))
+        hashed = []
+        for _, _, w in slices(pa.array([" ".join(x) for x in items]), folded=True):
+            hashes = w.hashes()
+            hashed += [hashes[w.first[k] : w.first[k + 1]] for k in range(w.rows)]
+        index = decontamination.Index(list(enumerate(hashed)), 0.2, 1.15, 8, 6, 3, 8)
+        found, at = set(), 0
+        for _, _, w in slices(pa.array(texts), folded=True):
+            for row, k, n, _, _ in index.find(w.hashes(), w.first):
+                if at + row == k:
+                    assert n == edits_of(items[k], texts[k]) if length <= 20 else n <= int(0.2 * length)
+                    found.add(k)
+            at += w.rows
+        assert len(found) >= 38, (length, len(found))
+
+
+def edits_of(item, text):
+    return edits(item, re.findall("[a-z0-9]+", text))
+
+
 def test_op4_finds_short_items_and_scripts_without_spaces(spark):
     chinese, thai = "中国最长的河流是长江全长六千三百公里", "ภาษาไทยเป็นภาษาที่มีระดับเสียง"
     items = [(1, "Who wrote Faust?"), (2, chinese), (3, thai), (4, "漢字"), (5, "?!"), (6, "wrote Faust"), (7, "Who wrote Faust?")]
@@ -329,6 +393,36 @@ def test_op7_keeps_one_line_of_each_group(spark, none):
     assert line_dedup.dedup_lines(none).count() == 0
 
 
+CLASHES = ["_gone", "_id", "_slot", "_bit", "_bits", "_touched", "first", "n_lines", "n_removed", "id", "node", "wanted", "key", "N_LINES_", "a.b"]
+
+
+def test_op7_other_columns_may_have_any_name(spark):
+    rows = [(k, prose(1, 30) + "\n" + prose(40 + k, 30 + 3000 * (k == 2)), *CLASHES) for k in range(4)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", *CLASHES])
+    got = line_dedup.dedup_lines(docs)
+    assert set(got.columns) == {*docs.columns} and got.columns[-2:] == ["n_lines", "n_removed"]
+    assert {(r.doc_id, r.n_lines, r.n_removed, r["a.b"], r["_bits"]) for r in got.collect()} == {(k, 2, int(k > 0), "a.b", "_bits") for k in range(4)}
+    for stage in (corpus_pipeline.lines, corpus_pipeline.near_duplicates):
+        done = stage(spark, docs, "")
+        assert done.columns == docs.columns and {tuple(r[2:]) for r in done.collect()} == {tuple(CLASHES)}
+    assert corpus_pipeline.lines(spark, docs, "").count() == 4 and corpus_pipeline.near_duplicates(spark, docs.unionByName(docs), "").count() == 4
+
+
+def test_op7_shingles_start_where_they_should(spark):
+    """At each word, at each character of scripts without spaces, at each place with a whole shingle of the word left."""
+    r = random.Random(3)
+    lines = ["", " ", "\t \x0b", "\tlead and trail \t", "a" * 9, "a" * 10, "abcdefghijklmnop q", "漢字abc漢 x漢字", "€ $1 \\1 😀😀 é", "abcdefghi漢jklmnopqrstuv w"]
+    lines += ["".join(r.choice("ab漢 \té") for _ in range(r.randrange(1, 60))) for k in range(300)]
+
+    def want(x):
+        starts = {p for p, c in enumerate(x) if c not in " \t\x0b\x0c\r" and (p == 0 or x[p - 1] in " \t\x0b\x0c\r" or "⺀" <= c <= "퟿" or (len(x) - p >= 9 and not set(x[p : p + 9]) & set(" \t\x0b\x0c\r")))}
+        return [x[p : p + 9] for p in sorted(starts)]
+
+    rows = spark.createDataFrame([(k, x, want(x)) for k, x in enumerate(lines)], "k int, norm string, want array<string>")
+    got = rows.select("norm", line_dedup.shingle_hashes(F.col("norm"), 9).alias("h"), F.transform("want", lambda s: F.xxhash64(s)).alias("w")).collect()
+    assert [x.norm for x in got if set(x.h) != set(x.w)] == []
+
+
 def _survivors(spark, lines):
     docs = spark.createDataFrame([(k, x) for k, x in enumerate(lines)], "doc_id bigint, text string")
     return {r.doc_id for r in line_dedup.dedup_lines(docs).where("n_removed = 0").collect()}
@@ -449,6 +543,46 @@ def test_op9_counts_and_distances(docs, texts, none):
     assert quality_rules.apply_rules(none).count() == 0
 
 
+def test_op9_kept_is_recomputed(spark):
+    """Every verdict from counts of its own: references, distances and limits by length."""
+    r, rows = random.Random(9), []
+    words = quality_rules.COMMON["en"]
+    for k in range(260):
+        n = r.choice([5, 19, 20, 25, 40, 70, 99, 100, 300])
+        share = r.choice([0.0, 0.2, 0.5, 0.5, 0.5, 0.9])
+        text = " ".join(r.choice(words[:6]) if r.random() < share else f"{r.choice('abcdefg')}{r.randrange(10**6):x}" for _ in range(n))
+        rows.append((k, text.upper() if r.random() < 0.1 else text, r.choice(["en", "en", "en", "xx", None])))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+
+    def classes(t):
+        kind = lambda c: 7 if ord(c) > 127 else 0 if "a" <= c <= "z" else 1 if "A" <= c <= "Z" else 2 if c.isdigit() else 3 if c in " \t\n\x0b\x0c\r" else 4 if c in ".,;:!?'\"-()" else 5 if c in "#*$%&|<>" else 6
+        return [sum(kind(c) == x for c in t) for x in range(8)]
+
+    def common(t):
+        c = Counter(t.split())
+        return [*[c[w] for w in words], sum(c.values()) - sum(c[w] for w in words)]
+
+    def far(a, b):
+        a, b = [x / sum(a) for x in a], [x / sum(b) for x in b]
+        m = [(x + y) / 2 for x, y in zip(a, b, strict=True)]
+        kl = lambda p: sum(x * math.log2(x / z) for x, z in zip(p, m, strict=True) if x)
+        return math.sqrt(max(0.0, kl(a) + kl(b)) / 2)
+
+    got = {x.doc_id: x for x in quality_rules.apply_rules(docs).collect()}
+    good = [t for k, t, lang in rows if lang == "en" and not got[k].base_failed]
+    refs = [[sum(c) for c in zip(*map(f, good), strict=True)] for f in (classes, common)]
+    seen = Counter()
+    for k, t, lang in rows:
+        n, want = len(t.split()), not got[k].base_failed
+        if lang == "en" and n >= 20 and len(t) >= 60:
+            grow = lambda kinds, size, full: 0.4 * (kinds - 1) / (8 * math.log(2)) * max(0.0, 1 / size - 1 / full)
+            ok = far(classes(t), refs[0]) ** 2 <= 0.09 + grow(8, len(t), 500) and far(common(t), refs[1]) ** 2 <= 0.29**2 + grow(17, n, 100)
+            want = want and ok
+            seen[n < 100, ok] += 1
+        assert got[k].kept == want
+    assert min(seen[x] for x in ((True, True), (True, False), (False, True), (False, False))) >= 5, seen
+
+
 def test_op9_distance_is_jensen_shannon():
     p, q = np.array([[1.0, 2, 3, 0], [0, 0, 5, 5]]), np.array([4.0, 1, 1, 0])
     for row, got in zip(p, quality_rules.distance(p, q), strict=True):
