@@ -13,6 +13,14 @@ from lodeworks.sources.literal import literal_table
 SALTS = 16
 #: Parent keys that are broadcast at most: some tens of megabytes.
 BROADCAST_KEYS = 1_000_000
+#: Input rows for one task where a task holds a state for nearly every row.
+TASK_ROWS = 500_000
+
+
+def dealt(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """The rows dealt by keys to as many tasks as ``rows`` rows ask for. What a task then sorts or groups by these keys
+    grows neither with the table nor with a small number of shuffle partitions. Only for keys that many rows do not share."""
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // TASK_ROWS)), *keys)
 
 
 def attach_all(big: DataFrame, *sides: tuple, how: str = "left") -> DataFrame:
