@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from lodeworks.functions import bucket_case, contains, exact_avg, exact_sum, half_up, month_of, pct, ratio, sensor_of
 from lodeworks.operators import aggregates as agg
 from lodeworks.operators.dimensions import ASH_GRADE4
-from lodeworks.operators.joins import with_ranges
+from lodeworks.operators.joins import dealt, with_ranges
 from lodeworks.operators.quality import null_counts
 from lodeworks.operators.quantiles import exact_quantiles
 from lodeworks.constants import ASH_RANGES
@@ -284,6 +284,14 @@ def fact_sales(t):
     )
 
 
+def _fact_with_customers(t, customer: str):
+    """Shipment lines with their order's customer. Nearly every line is a group of its own in what follows (an order
+    or a customer on a day or in a month), so lines and orders meet in tasks of bounded size."""
+    rows = t.lineitem.count()
+    orders = t.orders.select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias(customer))
+    return dealt(fact_sales(t), rows, "order_id").join(dealt(orders, rows, "order_id").hint("merge"), "order_id")
+
+
 def _monthly(df, *keys):
     """Group by the first day of the month; only the result rows get a readable month."""
     return df.groupBy(F.trunc("dt", "month").alias("stat_month"), *keys)
@@ -304,8 +312,7 @@ def _name_month(df):
     ),
 )
 def agg_monthly_rollup(t):
-    fact = fact_sales(t).join(t.orders.select(F.col("o_orderkey").alias("order_id"), "o_custkey"), "order_id")
-    return _monthly(fact, "mine_code", "coal_type").agg(
+    return _monthly(_fact_with_customers(t, "o_custkey"), "mine_code", "coal_type").agg(
         exact_sum("output_t").alias("total_output_t"),
         exact_sum("amount").alias("total_amount_cny"),
         half_up(exact_avg("wagas"), 4).alias("avg_wagas"),
@@ -386,8 +393,7 @@ def agg_ratio_day(t):
     ),
 )
 def agg_dwm_sales_daily(t):
-    fact = fact_sales(t).join(t.orders.select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id")), "order_id")
-    return fact.groupBy("customer_id", "coal_type", "dt").agg(
+    return _fact_with_customers(t, "customer_id").groupBy("customer_id", "coal_type", "dt").agg(
         F.countDistinct("order_id").alias("orders"), exact_sum("output_t").alias("shipped_t"), exact_sum("amount").alias("amount")
     ).withColumn("dt", F.date_format("dt", "yyyy-MM-dd"))
 

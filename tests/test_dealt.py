@@ -32,3 +32,20 @@ def test_set_except_edges_tasks_follow_the_rows(spark, given):
     recorded, declared = ({(p, s) for p, s, f in lines if f not in (None, without)} for without in ("R", "A"))
     want = [(*e, "recorded") for e in recorded - declared] + [(*e, "declared") for e in declared - recorded]
     assert Counter(tuple(r) for r in got.collect()) == Counter(want) and len(want) > 50
+
+
+def test_sales_by_customer_and_day_tasks_follow_the_rows(spark, given):
+    """Both sides of the join are dealt to as many tasks as the lines ask for; agg_monthly_rollup shares the step."""
+    for name in ("agg_dwm_sales_daily", "agg_monthly_rollup"):
+        assert QUERIES[name](spark, given)._jdf.queryExecution().executedPlan().toString().count(", 41), REPARTITION_BY_NUM") >= 2
+    orders = [(r.o_orderkey, r.o_custkey) for r in spark.read.parquet(f"{given}/orders.parquet").collect()]
+    groups = {}
+    for r in spark.read.parquet(f"{given}/lineitem.parquet").collect():
+        for order, customer in orders:
+            if order is not None and order == r.l_orderkey:
+                key = (customer, r.l_returnflag, r.l_shipdate and f"{r.l_shipdate:%Y-%m-%d}")
+                groups.setdefault(key, []).append((order, r.l_quantity, r.l_extendedprice))
+    total = lambda values: sum(x for x in values if x is not None) if any(x is not None for x in values) else None
+    want = Counter((*k, len({o for o, _, _ in v}), total([q for _, q, _ in v]), total([a for _, _, a in v])) for k, v in groups.items())
+    got = QUERIES["agg_dwm_sales_daily"](spark, given).select("customer_id", "coal_type", "dt", "orders", "shipped_t", "amount").collect()
+    assert Counter(tuple(r) for r in got) == want and max(r.orders for r in got) > 1
