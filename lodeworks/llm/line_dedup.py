@@ -6,8 +6,8 @@ with that many characters of the word left, so that every character is read. Ten
 shingle hash under another XOR mask, form five bands of two. In every band, lines with equal keys are
 paired with the least and the greatest line of their bucket; pairs whose exact Jaccard similarity over
 all shingles is ``similarity`` or more are linked, and union-find joins linked lines. Then the other lines
-of each bucket are paired in full, but for pairs that are joined already. So buckets of near copies stay
-linear; buckets of unlike lines grow with their square, in units of two blocks of about ``BLOCK`` lines.
+of each bucket are compared in full, but for pairs that are joined already, in units of two blocks of about
+``BLOCK`` lines, by bit maps of their shingles: only pairs that may be near by these become rows and move.
 Of each component, and of each set of equal lines, the first occurrence by (id, line number) stays.
 
 Two lines of 0.8 share a bucket with probability 0.994; lines that share one are joined if they are near.
@@ -31,6 +31,9 @@ BLOCK = 1000
 #: One mask per MinHash value, as signed 64-bit numbers spread evenly, so that they differ in their leading bits.
 _MASKS = [k * 0x9E3779B97F4A7C15 % 2**64 - 2**63 for k in range(1, BANDS * ROWS + 1)]
 
+#: The two words of a line's bit map.
+_BITS = ("bits0", "bits1")
+
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
     """(id, pos, norm, digest, line): comparable lines with their place."""
@@ -53,6 +56,28 @@ def _band_keys(hashes: Column) -> Column:
     return F.array(*(F.xxhash64(F.lit(b), *least[b * ROWS : (b + 1) * ROWS]) for b in range(BANDS)))
 
 
+def _bit_map(hashes: Column) -> list[Column]:
+    """128 bits, one or more of them set for the shingles of a line."""
+
+    def word(k: int) -> Column:
+        one = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))
+        mine = lambda h: F.shiftright(h, 6).bitwiseAND(F.lit(1)) == F.lit(k)
+        return F.aggregate(hashes, F.lit(0).cast("long"), lambda bits, h: F.when(mine(h), bits.bitwiseOR(one(h))).otherwise(bits))
+
+    return [word(k).alias(name) for k, name in enumerate(_BITS)]
+
+
+def _may_be_near(l: str, r: str, similarity: float) -> Column:
+    """False only for lines that are surely not near. A bit that one line lacks stands for at least one shingle of the
+    other that it lacks as well."""
+
+    def shared_at_most(a: str, b: str) -> Column:
+        return F.col(f"{a}.size") - sum(F.bit_count(F.col(f"{a}.{c}").bitwiseAND(F.bitwise_not(F.col(f"{b}.{c}")))) for c in _BITS)
+
+    common = F.least(shared_at_most(l, r), shared_at_most(r, l))
+    return common >= similarity * (F.col(f"{l}.size") + F.col(f"{r}.size") - common)
+
+
 def _links(pairs: DataFrame, lines: DataFrame, chars: int, similarity: float) -> DataFrame:
     """(x, y, a, b): the pairs (x, y) of nids that are near enough, with their digests."""
     # The shingles of paired lines only; the bit map keeps most others from being moved.
@@ -66,18 +91,17 @@ def _links(pairs: DataFrame, lines: DataFrame, chars: int, similarity: float) ->
 
 
 def _inner_pairs(rows: DataFrame, buckets: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
-    """(x, y): every two lines of a bucket, neither an end of it, that are not joined yet."""
-    inner = rows.join(buckets, "key").where("nid <> low AND nid <> high").select("key", "nid", "size").distinct()
+    """(x, y): every two lines of a bucket, neither an end of it, that are not joined yet and may be near."""
+    inner = rows.join(buckets, "key").where("nid <> low AND nid <> high").select("key", "nid", "size", *_BITS).distinct()
     rooted = stored(inner.join(roots, "nid", "left").withColumn("root", F.coalesce("root", "nid")), "line-inner")
     counts = rooted.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("r0"), F.max("root").alias("r1"))
     counts = counts.where("r0 <> r1").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     cut = rooted.join(counts, "key").withColumn("block", F.pmod(F.hash("nid"), F.col("blocks")))
-    line = F.struct("nid", "root", "size")
+    line = F.struct("nid", "root", "size", *_BITS)
     left = cut.select("key", F.col("block").alias("u"), F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("v"), line.alias("l"))
     right = cut.select("key", F.explode(F.sequence(F.lit(0), F.col("block"))).alias("u"), F.col("block").alias("v"), line.alias("r"))
     met = left.join(right, ["key", "u", "v"]).where("l.root <> r.root AND (u < v OR l.nid < r.nid)")
-    # Sets whose sizes are too far apart are not near.
-    met = met.where(F.least("l.size", "r.size") >= similarity * F.greatest("l.size", "r.size"))
+    met = met.where(_may_be_near("l", "r", similarity))
     return met.select(F.least("l.nid", "r.nid").alias("x"), F.greatest("l.nid", "r.nid").alias("y")).distinct()
 
 
@@ -93,9 +117,9 @@ def repeated_lines(
     lines = lines_of(docs, id_col, text_col, min_chars)
     hashed = lines.select("id", "pos", "digest", "nid", shingle_hashes(F.col("norm"), chars).alias("h"))
     keys = F.when(F.size("h") > 0, _band_keys(F.col("h"))).alias("keys")
-    keyed = stored(hashed.select("id", "pos", "digest", "nid", F.size(F.array_distinct("h")).alias("size"), keys), "line-bands")
+    keyed = stored(hashed.select("id", "pos", "digest", "nid", F.size(F.array_distinct("h")).alias("size"), *_bit_map(F.col("h")), keys), "line-bands")
 
-    rows = keyed.select("nid", "size", F.explode("keys").alias("key"))
+    rows = keyed.select("nid", "size", *_BITS, F.explode("keys").alias("key"))
     ends = rows.groupBy("key").agg(F.min("nid").alias("low"), F.max("nid").alias("high"), F.count(F.lit(1)).alias("n"))
     buckets = stored(ends.where("low <> high"), "line-buckets")
     outer = rows.join(buckets, "key").select("nid", F.explode(F.array("low", "high")).alias("end")).where("nid <> end")

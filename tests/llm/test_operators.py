@@ -456,6 +456,18 @@ def test_op7_compares_all_pairs_of_a_bucket(spark):
     assert gone <= set(range(1, 300, 2)) and len(gone) >= 147
 
 
+def test_op7_moves_no_pairs_of_unlike_lines(spark, monkeypatch):
+    """Template lines share buckets; what is compared by shingles grows with the near pairs, not with the bucket's square."""
+    template, lines = prose(1, 24), []
+    for k in range(150):
+        line = template + " " + prose(5000 + k, 15)
+        lines += [line, line[:-12] + prose(9000 + k, 3)[:12]]
+    seen, links = [], line_dedup._links
+    monkeypatch.setattr(line_dedup, "_links", lambda pairs, *rest: seen.append(pairs.count()) or links(pairs, *rest))
+    assert len(_survivors(spark, lines)) <= 153
+    assert sum(seen[1:]) <= 1000, seen
+
+
 def test_op7_blocks_change_nothing(spark, monkeypatch):
     template = prose(1, 36)
     lines = [template + " " + prose(5000 + k // 2, 14) + f" {k % 2}" for k in range(80)]
