@@ -5,10 +5,12 @@ vocabulary, one smoothing and one set of bigrams: p(w|v) = weight * c(v,w)/c(v)
 p(w) with ``alpha`` added to each count. A document's score is the mean over its words of the target
 model's loss minus the background model's; the lower, the more it reads like the target.
 
-Every word and every bigram of every document counts, and all counts stay in written tables. Each
-distinct bigram gets its two losses there, and documents take them by a join with their own bigrams,
-summed for each document first. The ``bigrams`` most frequent ones are broadcast and summed on the spot,
-which only spares moving rows. Words and bigrams are known by 64-bit hashes.
+Every word and every bigram of every document counts. One pass counts them, as 64-bit hashes; what only one
+text holds needs no table, since that text's own count is the count. The other words and bigrams stay in written
+tables. The ``WORDS`` most frequent of these words and the ``bigrams`` most frequent of these bigrams are broadcast,
+and bit maps of the rest tell what only one text holds, but for a few that they let pass: losses over these are
+summed on the spot. Each other bigram of a text meets its counts by a join. Neither the heads nor the bit maps decide
+anything; they spare moving rows.
 
 A null or empty text has no words and null scores. A row with a null id takes part in the background
 and is scored. An id labelled both ways counts as target; repeated rows count each time. Without labels
@@ -17,7 +19,6 @@ the target model is uniform. Other input columns are ignored.
 
 from __future__ import annotations
 
-import secrets
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +32,10 @@ from lodeworks.llm.words import Words, mix, slices
 #: Kinds of words that no text holds, in the smoothing.
 CLASSES = 10
 FLUSH = 2_000_000
+#: How many words' counts are broadcast.
+WORDS = 2_000_000
+#: The most 64-bit slots of each bit map, of words and of bigrams that several texts hold.
+SLOTS = 1 << 21
 #: Stands for the start of a text, before its first word.
 START = np.uint64(0x5851F42D4C957F2D)
 
@@ -44,45 +49,38 @@ def _pairs(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return mix(mix(before) + words), before, words
 
 
-def _word_keys(w: Words) -> tuple[np.ndarray]:
-    """Words, and the start once for each text that has any."""
-    return (np.concatenate([w.hashes(), np.full(int((w.counts > 0).sum()), START)]),)
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Different words and bigrams, counted within the task as far as memory allows: occurrences, those in the target,
+    and 1 for what one text holds, 2 for what several do. The start counts as a word, once for each text that has any."""
 
+    def packed(held: list, is_gram: bool) -> pa.RecordBatch:
+        keys, rows, targets = (np.concatenate(c) for c in zip(*held, strict=True))
+        turn = np.argsort(keys, kind="stable")  # rows ascend within a key
+        keys, rows, targets = keys[turn], rows[turn], targets[turn]
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        last = np.append(first[1:], len(keys)) - 1
+        columns = [keys[first].view(np.int64), np.diff(np.append(first, len(keys))), np.add.reduceat(targets, first, dtype=np.int64), 1 + (rows[first] != rows[last])]
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(first), is_gram)), *(pa.array(c, pa.int64()) for c in columns)], ["is_gram", "key", "all", "target", "texts"])
 
-def _sums(batches: Iterator[pa.RecordBatch], keys, names: list[str]) -> Iterator[pa.RecordBatch]:
-    """Different keys(words), whose first column tells them apart, counted within the task as far as memory allows."""
-
-    def packed(held: list) -> pa.RecordBatch:
-        columns = [np.concatenate(c) for c in zip(*held, strict=True)]
-        _, at, n = np.unique(columns[0], return_index=True, return_counts=True)
-        return pa.RecordBatch.from_arrays([*(pa.array(c[at].view(np.int64)) for c in columns), pa.array(n, pa.int64())], [*names, "n"])
-
-    held, size = [], 0
+    words, grams, size, rows = [], [], 0, 0
     for batch in batches:
-        for _, _, w in slices(batch.column("text")):
-            found = keys(w)
-            held.append(found)
-            size += len(found[0])
+        targets = np.asarray(batch.column("wanted"))
+        for at, stop, w in slices(batch.column("text")):
+            gram, _, word = _pairs(w)
+            filled = np.flatnonzero(w.counts > 0)
+            flags = targets[at:stop]
+            words += [(word, w.row + rows, flags[w.row]), (np.full(len(filled), START), filled + rows, flags[filled])]
+            grams.append((gram, w.row + rows, flags[w.row]))
+            size, rows = size + len(gram), rows + w.rows
             if size >= FLUSH:
-                yield packed(held)
-                held, size = [], 0
+                yield from (packed(words, False), packed(grams, True))
+                words, grams, size = [], [], 0
     if size:
-        yield packed(held)
-
-
-def _counts(texts: DataFrame, target: DataFrame, keys, names: list[str]) -> DataFrame:
-    """(names, all, target): occurrences over all texts and over the target's."""
-    schema = ", ".join(f"{c} long" for c in [*names, "n"])
-    count = lambda df: df.mapInArrow(lambda b: _sums(b, keys, names), schema)
-    zero = F.lit(0).cast("long")
-    both = count(texts).select(*names, F.col("n").alias("a"), zero.alias("t")).unionByName(
-        count(target).select(*names, zero.alias("a"), F.col("n").alias("t"))
-    )
-    return both.groupBy(*names).agg(F.sum("a").alias("all"), F.sum("t").alias("target"))
+        yield from (packed(words, False), packed(grams, True))
 
 
-def _most_frequent(counts: DataFrame, limit: int) -> DataFrame:
-    """Keys counted at least as often as the limit-th; a level that would pass the limit is left out whole."""
+def _least_count(counts: DataFrame, limit: int) -> int | None:
+    """The count of the limit-th most frequent key; a level that would pass the limit is left out whole."""
     levels = counts.groupBy("all").count().collect()  # as many rows as there are different counts
     least, total = None, 0
     for row in sorted(levels, key=lambda r: -r["all"]):
@@ -90,7 +88,42 @@ def _most_frequent(counts: DataFrame, limit: int) -> DataFrame:
         if total > limit:
             break
         least = row["all"]
-    return counts.where(F.lit(False) if least is None else F.col("all") >= least)
+    return least
+
+
+def _head(counts: DataFrame, limit: int) -> tuple[tuple[np.ndarray, np.ndarray], DataFrame]:
+    """Sorted keys and counts of the most frequent, and the rest."""
+    least = _least_count(counts, limit)
+    if least is None:
+        return (np.empty(0, np.uint64), np.empty((0, 2), np.uint32)), counts
+    found = counts.where(F.col("all") >= least).select("key", "all", "target").toArrow()
+    keys = np.asarray(found.column("key"), np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    both = np.column_stack([found.column("all"), found.column("target")])[order]
+    return (keys[order], both.astype(np.uint32 if both[:, 0].max(initial=0) < 2**32 else np.int64)), counts.where(F.col("all") < least)
+
+
+def _bit_map(keys: DataFrame) -> np.ndarray:
+    """Some 16 bits for each key, as far as SLOTS allows."""
+    slots = min(SLOTS, 1 << (keys.count() // 4).bit_length())
+    slot, bit = F.col("key").bitwiseAND(F.lit(slots - 1)).cast("int"), F.shiftright("key", 40).bitwiseAND(F.lit(63)).cast("int")
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+    found = keys.select(slot.alias("slot"), one.alias("one")).groupBy("slot").agg(F.bit_or("one").alias("bits")).toArrow()
+    bits = np.zeros(slots, np.uint64)
+    bits[np.asarray(found.column("slot"))] = np.asarray(found.column("bits"), np.int64).view(np.uint64)
+    return bits
+
+
+def _known(keys: np.ndarray, head: tuple[np.ndarray, np.ndarray], bits: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Counts (all, target) of different keys, whether they are sure, and places in the head or -1. They are from the
+    head, or the own ones of a key that no other text holds."""
+    shared = (bits[keys & np.uint64(len(bits) - 1)] >> (keys >> np.uint64(40) & np.uint64(63)) & np.uint64(1)).astype(bool)
+    counts, sure, place = own.copy(), ~shared, np.full(len(keys), -1)
+    if len(head[0]):
+        near = np.minimum(np.searchsorted(head[0], keys), len(head[0]) - 1)
+        hit = head[0][near] == keys
+        counts[hit], sure[hit], place[hit] = head[1][near[hit]], True, near[hit]
+    return counts, sure, place
 
 
 def score_documents(
@@ -106,71 +139,111 @@ def score_documents(
     """One row per input row: id, n_tokens, ce_target, ce_background, score (nats per word)."""
     spark, kind = docs.sparkSession, dict(docs.dtypes)[id_col]
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    texts = rows.select("text")
     wanted = labels.where(F.col(label_col) == 1).select(F.col(id_col).alias("id")).distinct()
     # The bit map keeps most texts that are not wanted from being moved for the join.
-    perhaps = marked(rows, ["id"], wanted, "perhaps").where("perhaps")
-    target = stored(perhaps.join(wanted, "id", "left_semi").select("text"), "crossentropy-target")
-
-    words = stored(_counts(texts, target, _word_keys, ["word"]), "crossentropy-words")
+    split = marked(rows, ["id"], wanted, "perhaps")
+    asked = split.where("perhaps").drop("perhaps").join(wanted.withColumn("wanted", F.lit(True)), "id", "left")
+    asked = stored(asked.withColumn("wanted", F.coalesce("wanted", F.lit(False))), "crossentropy-asked")
+    texts = split.where("NOT perhaps").select("id", "text", F.lit(False).alias("wanted")).unionByName(asked)
+
+    counts = texts.select("text", "wanted").mapInArrow(_count, "is_gram boolean, key long, all long, target long, texts long")
+    counts = counts.groupBy("is_gram", "key").agg(F.sum("all").alias("all"), F.sum("target").alias("target"), F.sum("texts").alias("texts"))
+    counts = stored(counts.where("NOT is_gram OR texts > 1"), "crossentropy-counts")
+    words = counts.where("NOT is_gram").select("key", "all", "target", "texts")
+    grams = counts.where("is_gram").select("key", "all", "target")
     start = int(START.view(np.int64))
-    total = words.where(F.col("word") != start).agg(F.count(F.lit(1)).alias("n"), F.sum("all").alias("all"), F.sum("target").alias("target")).first()
+    total = words.where(F.col("key") != start).agg(F.count(F.lit(1)).alias("n"), F.sum("all").alias("all"), F.sum("target").alias("target")).first()
     size = total["n"] + CLASSES
-    pairs = stored(_counts(texts, target, _pairs, ["gram", "before", "word"]), "crossentropy-pairs")
-    contexts = words.select(F.col("word").alias("before"), F.col("all").alias("all_before"), F.col("target").alias("target_before"))
-    singles = words.select("word", F.col("all").alias("all_word"), F.col("target").alias("target_word"))
-
-    def loss(which: str):
-        plain = (F.col(f"{which}_word") + alpha) / ((total[which] or 0) + alpha * size)
-        return -F.log(weight * F.col(which) / F.greatest(F.col(f"{which}_before"), F.lit(1)) + (1 - weight) * plain)
-
-    model = pairs.join(contexts, "before").join(singles, "word").select("gram", "all", loss("all").alias("background"), loss("target").alias("target"))
-    model = stored(model, "crossentropy-model")
-    head = _most_frequent(model, bigrams).select("gram", "background", "target").toArrow()
-    order = np.argsort(np.asarray(head.column("gram"), np.int64).view(np.uint64))
-    shared = spark.sparkContext.broadcast(
-        (
-            np.asarray(head.column("gram"), np.int64).view(np.uint64)[order],
-            np.column_stack([head.column("background"), head.column("target")]).astype(float).reshape(-1, 2)[order],
-        )
-    )
-
-    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row for each text, with its losses over the head, and one for each other bigram of it."""
-        grams, losses = shared.value
-        row_id = secrets.randbits(63) - 2**62  # the table is written once, so both kinds of rows agree
+    below = {which: (total[which] or 0) + alpha * size for which in ("all", "target")}
+
+    word_head, other_words = _head(words.where("texts > 1").drop("texts"), WORDS)
+    gram_head, other_grams = _head(grams, bigrams)
+    shared = spark.sparkContext.broadcast((word_head, gram_head, _bit_map(other_words), _bit_map(other_grams)))
+
+    def look_up(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
+        """If whole, a row for each text, with its losses as far as all counts are known here, and one for each other
+        bigram of it whose words' counts are known. If not, its bigrams with other words."""
+        word_head, gram_head, word_bits, gram_bits = shared.value
         for batch in batches:
+            row_ids, targets = np.asarray(batch.column("row_id")), np.asarray(batch.column("wanted")).astype(np.int64)
             for at, stop, w in slices(batch.column("text")):
-                gram = _pairs(w)[0]
-                hit = np.zeros(len(gram), bool)
-                known = np.zeros((len(gram), 2))
-                if len(grams):
-                    near = np.minimum(np.searchsorted(grams, gram), len(grams) - 1)
-                    hit = grams[near] == gram
-                    known[hit] = losses[near[hit]]
-                sums = [np.bincount(w.row, known[:, k], w.rows).astype(float) for k in (0, 1)]  # whole numbers where there are no words
-                ids = np.arange(w.rows) + row_id
-                row_id += w.rows
-                names = ["row_id", "id", "n_tokens", "background", "target", "gram", "n"]
-                none = pa.nulls(w.rows, pa.int64())
-                part = batch.column("id").slice(at, stop - at)
-                yield pa.RecordBatch.from_arrays([pa.array(ids), part, pa.array(w.counts, pa.int64()), *map(pa.array, sums), none, none], names)
-                row, gram = w.row[~hit], gram[~hit]
-                turn = np.lexsort((gram, row))
-                row, gram = row[turn], gram[turn]
-                new = np.ones(len(row), bool)
-                new[1:] = (row[1:] != row[:-1]) | (gram[1:] != gram[:-1])
-                first = np.flatnonzero(new)
-                n = np.diff(np.append(first, len(row)))
-                null = [pa.nulls(len(first), t) for t in (part.type, pa.int64(), pa.float64(), pa.float64())]
-                yield pa.RecordBatch.from_arrays([pa.array(ids[row[first]]), *null, pa.array(gram[first].view(np.int64)), pa.array(n, pa.int64())], names)
-
-    schema = f"row_id long, id {kind}, n_tokens long, background double, target double, gram long, n long"
-    found = stored(rows.mapInArrow(look_up, schema), "crossentropy-rows")
-    tail = found.where("gram IS NOT NULL").select("row_id", "gram", "n").join(model.drop("all"), "gram")
-    tail = tail.groupBy("row_id").agg(F.sum(F.col("n") * F.col("background")).alias("b"), F.sum(F.col("n") * F.col("target")).alias("t"))
-    scored = found.where("gram IS NULL").join(tail, "row_id", "left")
+                gram, before, word = _pairs(w)
+                target, texts = targets[at:stop], pa.array(row_ids[at:stop])
+                # A key that one text holds has all its occurrences in this slice, which is made of whole texts.
+                keys, first, index, n = np.unique(word, return_index=True, return_inverse=True, return_counts=True)
+                word_n, word_sure, place = _known(keys, word_head, word_bits, np.column_stack([n, n * target[w.row[first]]]))
+                filled = int((w.counts > 0).sum())
+                start_n, start_sure, start_place = _known(np.full(1, START), word_head, word_bits, np.array([[filled, int(target[w.counts > 0].sum())]]))
+                word_n, word_sure, place = np.concatenate([word_n, start_n]), np.append(word_sure, start_sure), np.append(place, start_place)
+                keys, first, gram_index, n = np.unique(gram, return_index=True, return_inverse=True, return_counts=True)
+                own = w.row[first]
+                gram_n, gram_sure, _ = _known(keys, gram_head, gram_bits, np.column_stack([n, n * target[own]]))
+                at_start = np.zeros(len(gram), bool)
+                at_start[w.first[:-1][w.counts > 0]] = True
+                v_index = np.where(at_start, len(word_n) - 1, np.append(0, index[:-1]) if len(index) else index)
+                v, y = v_index[first], index[first]
+                words_sure = word_sure[v] & word_sure[y]
+                gram_sure |= words_sure & ((place[v] < 0) | (place[y] < 0))  # one text holds the word, and so the bigram
+                done = words_sure & gram_sure
+                names = ["id", "n_tokens", "background_sum", "target_sum", "n", "row_id", "key", *(["places"] if whole else ["before", "word"])]
+                if whole:
+                    sums = []
+                    for k, which in enumerate(("all", "target")):
+                        plain = (word_n[y, k] + alpha) / below[which]
+                        loss = np.where(done, -np.log(weight * gram_n[:, k] / np.maximum(word_n[v, k], 1) + (1 - weight) * plain), 0.0) if len(keys) else np.empty(0)
+                        sums.append(np.bincount(w.row, loss[gram_index], w.rows).astype(float))
+                    part = batch.column("id").slice(at, stop - at)
+                    none = pa.nulls(w.rows, pa.int64())
+                    yield pa.RecordBatch.from_arrays([part, pa.array(w.counts, pa.int64()), *map(pa.array, sums), none, texts, texts, none], names)
+                asked = np.flatnonzero((words_sure & ~gram_sure if whole else ~words_sure)[gram_index])
+                if not len(asked):
+                    continue
+                pair, n = np.unique(w.row[asked] * len(keys) + gram_index[asked], return_counts=True)
+                row, g = pair // len(keys), pair % len(keys)
+                null = [pa.nulls(len(row), t) for t in (batch.schema.field("id").type, pa.int64(), pa.float64(), pa.float64())]
+                last = [place[v[g]] << 32 | place[y[g]]] if whole else [before[first[g]].view(np.int64), word[first[g]].view(np.int64)]
+                numbers = [np.where(target[row] > 0, -n, n), row_ids[at:stop][row], keys[g].view(np.int64), *last]
+                yield pa.RecordBatch.from_arrays([*null, *(pa.array(x, pa.int64()) for x in numbers)], names)
+
+    def near_losses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The sums of rows for texts as they are, and the losses of bigrams of words of the head."""
+        counts = shared.value[0][1]
+        for batch in batches:
+            numbers = {c: np.asarray(batch.column(c).fill_null(0)) for c in ("n", "all", "target", "places")}
+            summed = batch.column("places").is_null().to_numpy(zero_copy_only=False)
+            losses = []
+            for k, which in enumerate(("all", "target")):
+                sums = np.asarray(batch.column(("background_sum", "target_sum")[k]).fill_null(0.0))
+                if len(counts):
+                    before, word = counts[numbers["places"] >> 32, k], counts[numbers["places"] & 0xFFFFFFFF, k]
+                    plain = (word + alpha) / below[which]
+                    with np.errstate(divide="ignore"):
+                        loss = numbers["n"] * -np.log(weight * numbers[which] / np.maximum(before, 1) + (1 - weight) * plain)
+                    sums = np.where(summed, sums, loss)
+                losses.append(pa.array(sums))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("row_id", "id", "n_tokens")), *losses], ["row_id", "id", "n_tokens", "b", "t"])
+
+    # n is below zero in texts of the target. Columns that differ from row to row stand side by side, which packs best.
+    schema = f"id {kind}, n_tokens long, background_sum double, target_sum double, n long, row_id long, key long"
+    numbered = texts.withColumn("row_id", F.monotonically_increasing_id())  # of stored rows: the same in both passes
+    # What a bit map let pass without need is in no table: the text's own count is the count.
+    counted = [F.coalesce("all", F.abs("n")).alias("all"), F.coalesce("target", F.greatest(-F.col("n"), F.lit(0))).alias("target")]
+    grams = grams.hint("shuffle_hash")  # each bigram once; sorting the texts' bigrams costs more
+    met = numbered.mapInArrow(lambda b: look_up(b, True), f"{schema}, places long").join(grams, "key", "left")
+    losses = met.select("row_id", "id", "n_tokens", "background_sum", "target_sum", F.abs("n").alias("n"), "places", *counted).mapInArrow(near_losses, f"row_id long, id {kind}, n_tokens long, b double, t double")
+    if not other_words.isEmpty():
+        far = numbered.mapInArrow(lambda b: look_up(b, False), f"{schema}, before long, word long")
+        for name in ("before", "word"):
+            far = far.join(words.select(F.col("key").alias(name), F.col("all").alias(f"all_{name}"), F.col("target").alias(f"target_{name}")), name)
+
+        def loss(which: str):
+            plain = (F.col(f"{which}_word") + alpha) / below[which]
+            return F.abs("n") * -F.log(weight * F.col(which) / F.greatest(F.col(f"{which}_before"), F.lit(1)) + (1 - weight) * plain)
+
+        far = far.join(grams, "key", "left").select("*", *(c.alias(f"{name}_here") for c, name in zip(counted, ("all", "target"), strict=True)))
+        far = far.drop("all", "target").withColumnsRenamed({"all_here": "all", "target_here": "target"})
+        losses = losses.unionByName(far.select("row_id", "id", "n_tokens", loss("all").alias("b"), loss("target").alias("t")))
+    scored = losses.groupBy("row_id").agg(F.first("id", ignorenulls=True).alias("id"), F.max("n_tokens").alias("n_tokens"), F.sum("b").alias("b"), F.sum("t").alias("t"))
     many = F.when(F.col("n_tokens") > 0, F.col("n_tokens"))
-    ce_target, ce_background = ((F.col(a) + F.coalesce(b, F.lit(0.0))) / many for a, b in (("target", "t"), ("background", "b")))
-    out = scored.select(F.col("id").alias(id_col), "n_tokens", ce_target.alias("ce_target"), ce_background.alias("ce_background"))
+    out = scored.select(F.col("id").alias(id_col), "n_tokens", (F.col("t") / many).alias("ce_target"), (F.col("b") / many).alias("ce_background"))
     return out.withColumn("score", F.col("ce_target") - F.col("ce_background"))

@@ -359,6 +359,30 @@ def test_op6_counts_every_word_and_bigram(spark):
             assert key(x) == key(y) and x.ce_target == pytest.approx(y.ce_target) and x.ce_background == pytest.approx(y.ce_background)
 
 
+def test_op6_heads_and_bit_maps_decide_nothing(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, prose(k % 30, 60) + f" own{k} word{k % 7} the end") for k in range(40)] + [(3, prose(3, 60)), (50, ""), (None, "own1 and alone")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, 1) for k in range(0, 40, 3)] + [(1, 0)], "doc_id bigint, quality int")
+    key = lambda r: (r.doc_id or -1, r.n_tokens)
+    want = sorted(crossentropy.score_documents(docs, labels).collect(), key=key)
+    for words, slots, bigrams in ((0, 1, 0), (20, 1, 20), (20, 64, 0), (5, 1 << 21, 400_000)):
+        monkeypatch.setattr(crossentropy, "WORDS", words)
+        monkeypatch.setattr(crossentropy, "SLOTS", slots)
+        got = sorted(crossentropy.score_documents(docs, labels, bigrams=bigrams).collect(), key=key)
+        assert len(got) == len(want) == 43
+        for x, y in zip(want, got, strict=True):
+            assert key(x) == key(y) and x.score == (None if y.score is None else pytest.approx(y.score)) and x.ce_target == (None if y.ce_target is None else pytest.approx(y.ce_target))
+
+
+def test_op6_stores_no_bigram_of_one_text(spark, monkeypatch):
+    """What is kept follows the words, and the bigrams that several texts hold."""
+    docs = spark.createDataFrame([(k, " ".join(f"w{k}x{i}" for i in range(50))) for k in range(20)] + [(100 + k, "two texts hold this") for k in range(2)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(0, 1)], "doc_id bigint, quality int")
+    kept, stored = [], crossentropy.stored
+    monkeypatch.setattr(crossentropy, "stored", lambda df, label: kept.append(stored(df, label)) or kept[-1])
+    assert crossentropy.score_documents(docs, labels).count() == 22
+    assert sum(df.count() for df in kept) <= 20 * 50 + 4 + 1 + 4 + 22
+
+
 def test_op7_keeps_one_line_of_each_group(spark, none):
     base = prose(1, 40)
     lines = {
