@@ -31,8 +31,8 @@ BLOCK = 1000
 #: One mask per MinHash value, as signed 64-bit numbers spread evenly, so that they differ in their leading bits.
 _MASKS = [k * 0x9E3779B97F4A7C15 % 2**64 - 2**63 for k in range(1, BANDS * ROWS + 1)]
 
-#: The two words of a line's bit map.
-_BITS = ("bits0", "bits1")
+#: The words of a line's bit map.
+_BITS = tuple(f"bits{k}" for k in range(8))
 
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
@@ -57,11 +57,11 @@ def _band_keys(hashes: Column) -> Column:
 
 
 def _bit_map(hashes: Column) -> list[Column]:
-    """128 bits, one or more of them set for the shingles of a line."""
+    """512 bits, one or more of them set for the shingles of a line."""
 
     def word(k: int) -> Column:
         one = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))
-        mine = lambda h: F.shiftright(h, 6).bitwiseAND(F.lit(1)) == F.lit(k)
+        mine = lambda h: F.shiftright(h, 6).bitwiseAND(F.lit(len(_BITS) - 1)) == F.lit(k)
         return F.aggregate(hashes, F.lit(0).cast("long"), lambda bits, h: F.when(mine(h), bits.bitwiseOR(one(h))).otherwise(bits))
 
     return [word(k).alias(name) for k, name in enumerate(_BITS)]
@@ -78,25 +78,32 @@ def _may_be_near(l: str, r: str, similarity: float) -> Column:
     return common >= similarity * (F.col(f"{l}.size") + F.col(f"{r}.size") - common)
 
 
+def _shingle_sets(wanted: DataFrame, lines: DataFrame, chars: int) -> DataFrame:
+    """(nid, digest, h): the different shingles of the wanted lines. A bit map keeps most others from being moved."""
+    near = marked(lines.select("nid", "digest", "norm"), ["nid"], wanted, "near").where("near")
+    texts = near.groupBy("digest", "nid").agg(F.first("norm").alias("norm")).join(wanted, "nid", "left_semi")
+    return texts.select("nid", "digest", F.array_distinct(shingle_hashes(F.col("norm"), chars)).alias("h"))
+
+
 def _links(pairs: DataFrame, lines: DataFrame, chars: int, similarity: float) -> DataFrame:
     """(x, y, a, b): the pairs (x, y) of nids that are near enough, with their digests."""
-    # The shingles of paired lines only; the bit map keeps most others from being moved.
     wanted = pairs.select(F.explode(F.array("x", "y")).alias("nid")).distinct()
-    near = marked(lines.select("nid", "digest", "norm"), ["nid"], wanted, "near").where("near")
-    texts = near.groupBy("digest", "nid").agg(F.first("norm").alias("norm")).join(wanted, "nid", "left_semi")
-    sets = stored(texts.select("nid", "digest", F.array_distinct(shingle_hashes(F.col("norm"), chars)).alias("h")), "line-shingles")
+    sets = stored(_shingle_sets(wanted, lines, chars), "line-shingles")
     both = pairs.join(sets.toDF("x", "a", "ha"), "x").join(sets.toDF("y", "b", "hb"), "y")
     common = F.size(F.array_intersect("ha", "hb"))
     return both.where(common >= similarity * (F.size("ha") + F.size("hb") - common)).select("x", "y", "a", "b")
 
 
-def _inner_pairs(rows: DataFrame, buckets: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+def _inner_pairs(rows: DataFrame, buckets: DataFrame, roots: DataFrame, lines: DataFrame, chars: int, similarity: float) -> DataFrame:
     """(x, y): every two lines of a bucket, neither an end of it, that are not joined yet and may be near."""
-    inner = rows.join(buckets, "key").where("nid <> low AND nid <> high").select("key", "nid", "size", *_BITS).distinct()
+    inner = rows.join(buckets, "key").where("nid <> low AND nid <> high").select("key", "nid").distinct()
     rooted = stored(inner.join(roots, "nid", "left").withColumn("root", F.coalesce("root", "nid")), "line-inner")
     counts = rooted.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("r0"), F.max("root").alias("r1"))
-    counts = counts.where("r0 <> r1").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    cut = rooted.join(counts, "key").withColumn("block", F.pmod(F.hash("nid"), F.col("blocks")))
+    counts = stored(counts.where("r0 <> r1").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "line-mixed")
+    open_ = rooted.join(counts, "key")
+    sets = _shingle_sets(open_.select("nid").distinct(), lines, chars)
+    maps = stored(sets.select("nid", F.size("h").alias("size"), *_bit_map(F.col("h"))), "line-maps")
+    cut = open_.join(maps, "nid").withColumn("block", F.pmod(F.hash("nid"), F.col("blocks")))
     line = F.struct("nid", "root", "size", *_BITS)
     left = cut.select("key", F.col("block").alias("u"), F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("v"), line.alias("l"))
     right = cut.select("key", F.explode(F.sequence(F.lit(0), F.col("block"))).alias("u"), F.col("block").alias("v"), line.alias("r"))
@@ -117,18 +124,20 @@ def repeated_lines(
     lines = lines_of(docs, id_col, text_col, min_chars)
     hashed = lines.select("id", "pos", "digest", "nid", shingle_hashes(F.col("norm"), chars).alias("h"))
     keys = F.when(F.size("h") > 0, _band_keys(F.col("h"))).alias("keys")
-    keyed = stored(hashed.select("id", "pos", "digest", "nid", F.size(F.array_distinct("h")).alias("size"), *_bit_map(F.col("h")), keys), "line-bands")
+    keyed = stored(hashed.select("id", "pos", "digest", "nid", keys), "line-bands")
 
-    rows = keyed.select("nid", "size", *_BITS, F.explode("keys").alias("key"))
+    rows = keyed.select("nid", F.explode("keys").alias("key"))
     ends = rows.groupBy("key").agg(F.min("nid").alias("low"), F.max("nid").alias("high"), F.count(F.lit(1)).alias("n"))
     buckets = stored(ends.where("low <> high"), "line-buckets")
+    # Most lines share no bucket; the bit map keeps their rows from being moved again.
+    rows = stored(marked(rows, ["key"], buckets, "shared").where("shared").select("key", "nid"), "line-rows")
     outer = rows.join(buckets, "key").select("nid", F.explode(F.array("low", "high")).alias("end")).where("nid <> end")
     pairs = stored(outer.select(F.least("nid", "end").alias("x"), F.greatest("nid", "end").alias("y")).distinct(), "line-pairs")
     linked = stored(_links(pairs, lines, chars, similarity), "line-links")
     joined = components(linked.select(F.col("x").alias("a"), F.col("y").alias("b")), "line-ends").toDF("nid", "root")
 
     # Two lines besides the ends need a bucket of four rows.
-    inner = stored(_inner_pairs(rows, buckets.where("n > 3").drop("n"), joined, similarity), "line-inner-pairs")
+    inner = stored(_inner_pairs(rows, buckets.where("n > 3").drop("n"), joined, lines, chars, similarity), "line-inner-pairs")
     if not inner.isEmpty():
         linked = stored(linked.unionByName(_links(inner, lines, chars, similarity)), "line-links")
     roots = components(linked.select("a", "b"), "line-components")

@@ -492,6 +492,22 @@ def test_op7_moves_no_pairs_of_unlike_lines(spark, monkeypatch):
     assert sum(seen[1:]) <= 1000, seen
 
 
+def test_op7_moves_no_line_that_shares_no_bucket(spark, monkeypatch):
+    """Of unlike lines, the rows of the bands are not kept for the joins; of long unlike ones, no pair is compared by shingles."""
+    kept, stored = {}, line_dedup.stored
+    monkeypatch.setattr(line_dedup, "stored", lambda df, label: kept.setdefault(label, stored(df, label)))
+    assert _survivors(spark, [prose(k, 30) for k in range(60)] + [prose(0, 30)]) == set(range(60))
+    assert kept["line-rows"].count() <= 10
+    template, lines = prose(1, 110), []
+    for k in range(60):
+        lines.append(template + " " + prose(5000 + k, 45))
+    seen, links = [], line_dedup._links
+    monkeypatch.setattr(line_dedup, "stored", stored)
+    monkeypatch.setattr(line_dedup, "_links", lambda pairs, *rest: seen.append(pairs.count()) or links(pairs, *rest))
+    assert _survivors(spark, lines) == set(range(60))
+    assert sum(seen[1:]) <= 20, seen
+
+
 def test_op7_blocks_change_nothing(spark, monkeypatch):
     template = prose(1, 36)
     lines = [template + " " + prose(5000 + k // 2, 14) + f" {k % 2}" for k in range(80)]
