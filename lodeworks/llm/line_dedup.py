@@ -101,14 +101,16 @@ def _inner_pairs(rows: DataFrame, buckets: DataFrame, roots: DataFrame, lines: D
     counts = rooted.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("r0"), F.max("root").alias("r1"))
     counts = stored(counts.where("r0 <> r1").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "line-mixed")
     open_ = rooted.join(counts, "key")
-    sets = _shingle_sets(open_.select("nid").distinct(), lines, chars)
-    maps = stored(sets.select("nid", F.size("h").alias("size"), *_bit_map(F.col("h"))), "line-maps")
+    own = stored(open_.groupBy("nid").agg(F.collect_set("key").alias("keys")), "line-keys")  # a key for each band at most
+    sets = _shingle_sets(own.select("nid"), lines, chars)
+    maps = stored(sets.select("nid", F.size("h").alias("size"), *_bit_map(F.col("h"))).join(own, "nid"), "line-maps")
     cut = open_.join(maps, "nid").withColumn("block", F.pmod(F.hash("nid"), F.col("blocks")))
-    line = F.struct("nid", "root", "size", *_BITS)
+    line = F.struct("nid", "root", "size", *_BITS, "keys")
     left = cut.select("key", F.col("block").alias("u"), F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("v"), line.alias("l"))
     right = cut.select("key", F.explode(F.sequence(F.lit(0), F.col("block"))).alias("u"), F.col("block").alias("v"), line.alias("r"))
     met = left.join(right, ["key", "u", "v"]).where("l.root <> r.root AND (u < v OR l.nid < r.nid)")
-    met = met.where(_may_be_near("l", "r", similarity))
+    # Of the buckets that two lines share, the one of the least key makes their row.
+    met = met.where(_may_be_near("l", "r", similarity)).where(F.array_min(F.array_intersect("l.keys", "r.keys")) == F.col("key"))
     return met.select(F.least("l.nid", "r.nid").alias("x"), F.greatest("l.nid", "r.nid").alias("y")).distinct()
 
 

@@ -508,6 +508,18 @@ def test_op7_moves_no_line_that_shares_no_bucket(spark, monkeypatch):
     assert sum(seen[1:]) <= 20, seen
 
 
+def test_op7_pairs_meet_in_one_bucket(spark):
+    """Two lines that share several buckets make one row."""
+    lines = spark.createDataFrame([(k, prose(1, 40) + f" {prose(k + 2, 1)}") for k in range(6)], "nid bigint, norm string").withColumn("digest", F.lit(b"d"))
+    rows = lines.select("nid", F.explode(F.array(*(F.lit(k).cast("long") for k in range(5)))).alias("key"))
+    buckets = spark.createDataFrame([(k, 0, 5) for k in range(5)], "key bigint, low bigint, high bigint")
+    roots = spark.createDataFrame([(0, 0)], "nid bigint, root bigint")
+    pairs = line_dedup._inner_pairs(rows, buckets, roots, lines, 9, 0.8)
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r.x, r.y) for r in pairs.collect()) == [(x, y) for x in range(1, 5) for y in range(x + 1, 5)]
+    assert any("Join Inner" in line and "array_intersect" in line for line in plan.splitlines())
+
+
 def test_op7_blocks_change_nothing(spark, monkeypatch):
     template = prose(1, 36)
     lines = [template + " " + prose(5000 + k // 2, 14) + f" {k % 2}" for k in range(80)]
