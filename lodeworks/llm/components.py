@@ -8,14 +8,21 @@ from pyspark.sql import functions as F
 from lodeworks.session import work_path
 
 SLOTS = 1 << 19
+#: Drops what a query has written for its exchanges as soon as it ends. Else that stays until the driver collects its garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Written to the shared folder and read back: later jobs survive lost executors, and a join over
-    it has an exchange of its own that adaptive execution can split."""
-    path = work_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    it has an exchange of its own that adaptive execution can split. Files of exchanges end with the write."""
+    spark = df.sparkSession
+    path, before = work_path(spark, label), spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    return spark.read.parquet(path)
 
 
 def components(edges: DataFrame, label: str = "components") -> DataFrame:

@@ -7,7 +7,8 @@ shingle hash under another XOR mask, form five bands of two. In every band, line
 paired with the least and the greatest line of their bucket; pairs whose exact Jaccard similarity over
 all shingles is ``similarity`` or more are linked, and union-find joins linked lines. Then the other lines
 of each bucket are compared in full, but for pairs that are joined already, in units of two blocks of about
-``BLOCK`` lines, by bit maps of their shingles: only pairs that may be near by these become rows and move.
+``BLOCK`` lines. Whatever meets in a bucket is held against each other by sketches first, which a line's rows carry: only
+pairs that may be near by these become rows, and only their lines' texts and shingles move.
 Of each component, and of each set of equal lines, the first occurrence by (id, line number) stays.
 
 Two lines of 0.8 share a bucket with probability 0.994; lines that share one are joined if they are near.
@@ -31,8 +32,8 @@ BLOCK = 1000
 #: One mask per MinHash value, as signed 64-bit numbers spread evenly, so that they differ in their leading bits.
 _MASKS = [k * 0x9E3779B97F4A7C15 % 2**64 - 2**63 for k in range(1, BANDS * ROWS + 1)]
 
-#: The words of a line's bit map.
-_BITS = tuple(f"bits{k}" for k in range(8))
+#: The words of a line's sketch, and of the wide one that lines of more than ``LONG`` shingles have besides. Powers of two.
+NARROW, WIDE, LONG = 4, 8, 192
 
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
@@ -56,32 +57,50 @@ def _band_keys(hashes: Column) -> Column:
     return F.array(*(F.xxhash64(F.lit(b), *least[b * ROWS : (b + 1) * ROWS]) for b in range(BANDS)))
 
 
-def _bit_map(hashes: Column) -> list[Column]:
-    """512 bits, one or more of them set for the shingles of a line."""
+def _parities(hashes: Column, words: int) -> list[Column]:
+    """Each of the 64 bits of a word tells if an odd number of the different hashes fall on it."""
 
     def word(k: int) -> Column:
         one = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))
-        mine = lambda h: F.shiftright(h, 6).bitwiseAND(F.lit(len(_BITS) - 1)) == F.lit(k)
-        return F.aggregate(hashes, F.lit(0).cast("long"), lambda bits, h: F.when(mine(h), bits.bitwiseOR(one(h))).otherwise(bits))
+        mine = lambda h: h.bitwiseAND(F.lit((words - 1) << 6)) == F.lit(k << 6)
+        return F.aggregate(hashes, F.lit(0).cast("long"), lambda bits, h: F.when(mine(h), bits.bitwiseXOR(one(h))).otherwise(bits))
 
-    return [word(k).alias(name) for k, name in enumerate(_BITS)]
+    return [word(k) for k in range(words)]
+
+
+def _sketch(hashes: Column) -> Column:
+    wide = F.when(F.size(hashes) > LONG, F.array(*_parities(hashes, WIDE)))
+    return F.struct(F.size(hashes).alias("size"), *(w.alias(f"w{k}") for k, w in enumerate(_parities(hashes, NARROW))), wide.alias("wide")).alias("sketch")
 
 
 def _may_be_near(l: str, r: str, similarity: float) -> Column:
-    """False only for lines that are surely not near. A bit that one line lacks stands for at least one shingle of the
-    other that it lacks as well."""
+    """False only for lines that are surely not near, by their sketches. A bit in which these differ stands for at least
+    one shingle that only one of the lines has, and near lines have few of these."""
+    few = (F.col(f"{l}.size") + F.col(f"{r}.size")) * ((1 - similarity) / (1 + similarity)) + 0.001
+
+    def differ(a: list[Column], b: list[Column]) -> Column:
+        return sum(F.bit_count(x.bitwiseXOR(y)) for x, y in zip(a, b, strict=True))
+
+    narrow = differ(*([F.col(f"{x}.w{k}") for k in range(NARROW)] for x in (l, r)))
+    wide = differ(*([F.col(f"{x}.wide")[k] for k in range(WIDE)] for x in (l, r)))  # null if one of them has none
+    return (F.abs(F.col(f"{l}.size") - F.col(f"{r}.size")) <= few) & (narrow <= few) & F.coalesce(wide <= few, F.lit(True))
 
-    def shared_at_most(a: str, b: str) -> Column:
-        return F.col(f"{a}.size") - sum(F.bit_count(F.col(f"{a}.{c}").bitwiseAND(F.bitwise_not(F.col(f"{b}.{c}")))) for c in _BITS)
 
-    common = F.least(shared_at_most(l, r), shared_at_most(r, l))
-    return common >= similarity * (F.col(f"{l}.size") + F.col(f"{r}.size") - common)
+def _sketches(wanted: DataFrame, lines: DataFrame, chars: int) -> DataFrame:
+    """(nid, sketch) of the wanted lines, which come with sketches or with texts."""
+    if "sketch" not in lines.columns:
+        lines = lines.select("nid", F.array_distinct(shingle_hashes(F.col("norm"), chars)).alias("h")).select("nid", _sketch(F.col("h")))
+    near = marked(lines.select("nid", "sketch"), ["nid"], wanted, "near").where("near")
+    found = near.groupBy("nid").agg(F.collect_set("sketch").alias("found")).join(wanted, "nid", "left_semi")
+    return found.select("nid", F.explode("found").alias("sketch"))  # one, if no two lines have a nid
 
 
 def _shingle_sets(wanted: DataFrame, lines: DataFrame, chars: int) -> DataFrame:
     """(nid, digest, h): the different shingles of the wanted lines. A bit map keeps most others from being moved."""
     near = marked(lines.select("nid", "digest", "norm"), ["nid"], wanted, "near").where("near")
-    texts = near.groupBy("digest", "nid").agg(F.first("norm").alias("norm")).join(wanted, "nid", "left_semi")
+    # Grouped by what the join needs too, so that a text moves once.
+    found = near.groupBy("nid").agg(F.collect_set(F.struct("digest", "norm")).alias("found")).join(wanted, "nid", "left_semi")
+    texts = found.select("nid", F.explode("found").alias("line")).select("nid", "line.*")
     return texts.select("nid", "digest", F.array_distinct(shingle_hashes(F.col("norm"), chars)).alias("h"))
 
 
@@ -95,17 +114,17 @@ def _links(pairs: DataFrame, lines: DataFrame, chars: int, similarity: float) ->
 
 
 def _inner_pairs(rows: DataFrame, buckets: DataFrame, roots: DataFrame, lines: DataFrame, chars: int, similarity: float) -> DataFrame:
-    """(x, y): every two lines of a bucket, neither an end of it, that are not joined yet and may be near."""
-    inner = rows.join(buckets, "key").where("nid <> low AND nid <> high").select("key", "nid").distinct()
+    """(x, y): every two lines of a bucket, neither an end of it, that are not joined yet and may be near. ``lines`` have
+    their sketches or their texts."""
+    inner = rows.select("key", "nid").join(buckets, "key").where("nid <> low AND nid <> high").select("key", "nid").distinct()
     rooted = stored(inner.join(roots, "nid", "left").withColumn("root", F.coalesce("root", "nid")), "line-inner")
     counts = rooted.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("r0"), F.max("root").alias("r1"))
     counts = stored(counts.where("r0 <> r1").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "line-mixed")
     open_ = rooted.join(counts, "key")
     own = stored(open_.groupBy("nid").agg(F.collect_set("key").alias("keys")), "line-keys")  # a key for each band at most
-    sets = _shingle_sets(own.select("nid"), lines, chars)
-    maps = stored(sets.select("nid", F.size("h").alias("size"), *_bit_map(F.col("h"))).join(own, "nid"), "line-maps")
-    cut = open_.join(maps, "nid").withColumn("block", F.pmod(F.hash("nid"), F.col("blocks")))
-    line = F.struct("nid", "root", "size", *_BITS, "keys")
+    sketches = stored(_sketches(own.select("nid"), lines, chars).join(own, "nid"), "line-sketches")
+    cut = open_.join(sketches, "nid").withColumn("block", F.pmod(F.hash("nid"), F.col("blocks")))
+    line = F.struct("nid", "root", "keys", "sketch.*")
     left = cut.select("key", F.col("block").alias("u"), F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("v"), line.alias("l"))
     right = cut.select("key", F.explode(F.sequence(F.lit(0), F.col("block"))).alias("u"), F.col("block").alias("v"), line.alias("r"))
     met = left.join(right, ["key", "u", "v"]).where("l.root <> r.root AND (u < v OR l.nid < r.nid)")
@@ -124,22 +143,27 @@ def repeated_lines(
 ) -> DataFrame:
     """(id, pos, keeper): each line to be removed and the place of the line that stays for it."""
     lines = lines_of(docs, id_col, text_col, min_chars)
-    hashed = lines.select("id", "pos", "digest", "nid", shingle_hashes(F.col("norm"), chars).alias("h"))
+    hashed = lines.select("id", "pos", "digest", "nid", F.array_distinct(shingle_hashes(F.col("norm"), chars)).alias("h"))
     keys = F.when(F.size("h") > 0, _band_keys(F.col("h"))).alias("keys")
-    keyed = stored(hashed.select("id", "pos", "digest", "nid", keys), "line-bands")
+    keyed = stored(hashed.select("id", "pos", "digest", "nid", keys, _sketch(F.col("h"))), "line-bands")
 
-    rows = keyed.select("nid", F.explode("keys").alias("key"))
-    ends = rows.groupBy("key").agg(F.min("nid").alias("low"), F.max("nid").alias("high"), F.count(F.lit(1)).alias("n"))
-    buckets = stored(ends.where("low <> high"), "line-buckets")
+    ends = keyed.select("nid", F.explode("keys").alias("key")).groupBy("key").agg(F.min("nid").alias("low"), F.max("nid").alias("high"))
+    shared = stored(ends.where("low <> high").select("key"), "line-shared")
     # Most lines share no bucket; the bit map keeps their rows from being moved again.
-    rows = stored(marked(rows, ["key"], buckets, "shared").where("shared").select("key", "nid"), "line-rows")
-    outer = rows.join(buckets, "key").select("nid", F.explode(F.array("low", "high")).alias("end")).where("nid <> end")
+    rows = marked(keyed.select("nid", "sketch", F.explode("keys").alias("key")), ["key"], shared, "shared").where("shared")
+    rows = stored(rows.select("key", "nid", "sketch"), "line-rows")
+    line = F.struct("nid", "sketch.*")
+    ends = rows.groupBy("key").agg(F.min(line).alias("low"), F.max(line).alias("high"), F.count(F.lit(1)).alias("n"))
+    buckets = stored(ends.where("low.nid <> high.nid"), "line-buckets")
+    near = [F.when((F.col("nid") != F.col(f"{end}.nid")) & _may_be_near("sketch", end, similarity), F.col(f"{end}.nid")) for end in ("low", "high")]
+    outer = rows.join(buckets, "key").select("nid", F.explode(F.array(*near)).alias("end")).where("end IS NOT NULL")
     pairs = stored(outer.select(F.least("nid", "end").alias("x"), F.greatest("nid", "end").alias("y")).distinct(), "line-pairs")
     linked = stored(_links(pairs, lines, chars, similarity), "line-links")
     joined = components(linked.select(F.col("x").alias("a"), F.col("y").alias("b")), "line-ends").toDF("nid", "root")
 
     # Two lines besides the ends need a bucket of four rows.
-    inner = stored(_inner_pairs(rows, buckets.where("n > 3").drop("n"), joined, lines, chars, similarity), "line-inner-pairs")
+    large = buckets.where("n > 3").select("key", F.col("low.nid").alias("low"), F.col("high.nid").alias("high"))
+    inner = stored(_inner_pairs(rows, large, joined, rows, chars, similarity), "line-inner-pairs")
     if not inner.isEmpty():
         linked = stored(linked.unionByName(_links(inner, lines, chars, similarity)), "line-links")
     roots = components(linked.select("a", "b"), "line-components")

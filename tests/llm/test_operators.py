@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -508,6 +509,47 @@ def test_op7_moves_no_line_that_shares_no_bucket(spark, monkeypatch):
     assert sum(seen[1:]) <= 20, seen
 
 
+def test_op7_moves_no_text_of_unlike_lines(spark, monkeypatch):
+    """Lines that share buckets, with their ends too, but are unlike: no pair of them is compared by shingles."""
+    lines = [prose(1, words) + " " + prose(5000 + k, words // 2) for words in (30, 300) for k in range(60)]
+    near = [lines[0][:-5] + " near", lines[60][:-5] + " near"]
+    seen, links = [], line_dedup._links
+    monkeypatch.setattr(line_dedup, "_links", lambda pairs, *rest: seen.append(pairs.count()) or links(pairs, *rest))
+    assert _survivors(spark, lines + near) == set(range(120))
+    assert 2 <= sum(seen) <= 20, seen
+
+
+def test_op7_sketches_lose_no_near_lines(spark):
+    """Sets at and about the allowed distance, sizes about the limit of the wide sketches; unlike ones are told apart."""
+    r, rows = random.Random(5), []
+    new = lambda n: [r.getrandbits(64) - 2**63 for _ in range(n)]
+    for size in (1, 4, 9, 40, 150, 185, 192, 193, 230, 900):
+        for k in range(20):
+            both = new(size)
+            most = size // 4  # as many more in one of them: 0.8
+            left = r.randrange(most + 1)
+            rows.append((both + new(left), both + new(most - left), True))
+            rows.append((both + new(size // 2), both + new(size // 2), False))
+    sets = spark.createDataFrame(rows, "a array<bigint>, b array<bigint>, near boolean")
+    told = sets.select("near", F.size("a").alias("n"), line_dedup._sketch(F.col("a")).alias("l"), line_dedup._sketch(F.col("b")).alias("r"))
+    got = told.select("near", "n", line_dedup._may_be_near("l", "r", 0.8).alias("may")).collect()
+    assert len(got) == 400 and all(x.may for x in got if x.near)
+    assert not any(x.may for x in got if not x.near and 60 <= x.n <= 400)
+
+
+def test_stored_leaves_no_exchange_behind(spark):
+    """Files of exchanges go when the table is written, not when the driver's garbage is collected; the setting is put back."""
+    blocks = lambda: spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString(" ")
+    shuffles = lambda: set(re.findall(r"shuffle_(\d+)_", blocks()))
+    before, setting = shuffles(), spark.conf.get(cc._CLEANUP, None)
+    kept = [cc.stored(spark.range(2000).groupBy((F.col("id") % 700).alias("k")).agg(F.max("id").alias("m")), "exchange") for _ in range(2)]
+    until = time.time() + 20
+    while shuffles() - before and time.time() < until:  # they are removed in the background
+        time.sleep(0.2)
+    assert not shuffles() - before and spark.conf.get(cc._CLEANUP, None) == setting
+    assert [df.count() for df in kept] == [700, 700]
+
+
 def test_op7_pairs_meet_in_one_bucket(spark):
     """Two lines that share several buckets make one row."""
     lines = spark.createDataFrame([(k, prose(1, 40) + f" {prose(k + 2, 1)}") for k in range(6)], "nid bigint, norm string").withColumn("digest", F.lit(b"d"))
